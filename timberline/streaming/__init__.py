@@ -1,0 +1 @@
+"""Left empty on purpose: every job of this package is a batch job over finished log and trip files."""
