@@ -18,7 +18,9 @@ APPLICATION_PARTS = r"application_(\d+)_(\d+)"
 CONTAINER_ID = r"container_\d+_\d+_\d+_\d+"
 CONTAINER_PARTS = r"container_(\d+)_(\d+)_(\d+)_(\d+)"
 MASTER_CONTAINER = 1
-HEADER_TIME = r"^(?:\d{2}/\d{2}/\d{2}|\d{4}-\d{2}-\d{2})\s+\d{2}:\d{2}:\d{2}"
+SHORT_TIME = r"\d{2}/\d{2}/\d{2}\s+\d{2}:\d{2}:\d{2}"
+LONG_TIME = r"\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}"
+HEADER_TIME = rf"^(?:{SHORT_TIME}|{LONG_TIME})"
 
 
 def _col(c: Column | str) -> Column:
@@ -91,13 +93,23 @@ def parse_ts(text: Column | str) -> Column:
     raises no exception inside for each text of the other shape.
     """
     t = _col(text)
-    iso = F.when(t.substr(3, 1) == "/", F.concat(F.lit("20"), F.translate(t, "/", "-"))).otherwise(t)
-    return iso.try_cast("timestamp_ntz")
+    return F.when(_is_short(t), _iso(t)).otherwise(t).try_cast("timestamp_ntz")
+
+
+def _is_short(c: Column) -> Column:
+    return c.substr(3, 1) == "/"
+
+
+def _iso(short: Column) -> Column:
+    return F.concat(F.lit("20"), F.translate(short, "/", "-"))
 
 
 def ts(line: Column | str = "value") -> Column:
-    """Leading time of a line."""
-    return parse_ts(ts_text(line))
+    """Leading time of a line: ``parse_ts(ts_text(line))``, but with one pattern tried per line."""
+    c = _col(line)
+    short = F.regexp_extract(c, f"^{SHORT_TIME}", 0)
+    long = F.regexp_extract(c, f"^{LONG_TIME}", 0)
+    return F.when(_is_short(c), _iso(short)).otherwise(long).try_cast("timestamp_ntz")
 
 
 def container_id(path: Column | str = "file_path") -> Column:

@@ -67,9 +67,14 @@ def daily_summary(trips: DataFrame, year: int, columns: TripColumns = TLC, accur
     )
 
 
+def by_day(daily: DataFrame) -> DataFrame:
+    """A daily summary, latest day first."""
+    return daily.orderBy(*_latest_first())
+
+
 def latest(daily: DataFrame, n: int = 20) -> DataFrame:
     """The n latest days of a daily summary."""
-    return daily.orderBy(*_latest_first()).limit(n)
+    return by_day(daily).limit(n)
 
 
 def daily_totals(daily: DataFrame) -> DataFrame:

@@ -67,7 +67,9 @@ def histogram(d: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
         .agg(F.count("*").alias("count"))
     )
     width = (hi - lo) / bins
-    domain = d.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"), b.alias("b"))
+    domain = d.sparkSession.range(1, bins + 1, 1, numPartitions=1).select(
+        F.col("id").cast("int").alias("bin"), b.alias("b")
+    )
     # The broadcast side has at most one row per bin.
     return (
         domain.filter("b.n > 0")
@@ -97,19 +99,18 @@ def density(d: DataFrame, points: int = DENSITY_POINTS) -> DataFrame:
     seconds, so few are distinct); each distinct value is then spread over the points of the curve inside
     its task, and the points are summed before the shuffle. Needs two distinct values.
     """
-    values = d.groupBy("log_duration").agg(F.count("*").alias("weight")).withColumn("b", _bounds_value(d))
+    b = _bounds_value(d)
     h = F.col("b.sd") * F.pow(F.col("b.n").cast("double"), F.lit(-0.2))
     first = F.col("b.lo") - DENSITY_CUT * h
-    step = (F.col("b.hi") + DENSITY_CUT * h - first) / (points - 1)
-    spread = (
-        values.filter("b.sd > 0")
-        .select("log_duration", "weight", h.alias("h"), first.alias("first"), step.alias("step"), F.col("b.n").alias("n"))
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", F.col("first") + F.col("point") * F.col("step"))
-    )
-    z = (F.col("x") - F.col("log_duration")) / F.col("h")
+    x = first + F.col("point") * (F.col("b.hi") + DENSITY_CUT * h - first) / (points - 1)
+    z = (x - F.col("log_duration")) / h
+    values = d.groupBy("log_duration").agg(F.count("*").alias("weight"))
     return (
-        spread.groupBy("point", "x", "h", "n")
+        values.select("log_duration", "weight", b.alias("b"))
+        .filter("b.sd > 0")
+        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        .groupBy("point")
         .agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("total"))
-        .select("point", "x", (F.col("total") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
+        .select("point", "total", b.alias("b"))
+        .select("point", x.alias("x"), (F.col("total") / (F.col("b.n") * h * math.sqrt(2 * math.pi))).alias("density"))
     )

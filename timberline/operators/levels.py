@@ -22,10 +22,20 @@ def groups(lines: DataFrame, words: Sequence[str] = LEVELS, header_only: bool =
     return lines.groupBy(found.alias("log_level")).agg(F.count("*").alias("count"))
 
 
+def _named(key: str, count: str) -> Column:
+    # A test of the key alone would be moved below the grouping, and the pattern would run twice per line.
+    return F.when(F.col(key) != "", F.col(count)) > 0
+
+
 def level_domain(df: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
-    """The level words with their order, as a table."""
-    rows = [(i, word) for i, word in enumerate(words)]
-    return df.sparkSession.createDataFrame(rows, "ord int, log_level string")
+    """``ord, log_level``: the level words in their order, in one partition that Spark knows to be sorted."""
+    domain = df.sparkSession.range(0, len(words), 1, numPartitions=1).withColumnRenamed("id", "ord")
+    return domain.withColumn("log_level", F.get(F.array(*[F.lit(word) for word in words]), F.col("ord").cast("int")))
+
+
+def in_order(counted: DataFrame) -> DataFrame:
+    """A table by level in the order of the words."""
+    return counted.orderBy("ord").drop("ord")
 
 
 def counts_of(grouped: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
@@ -42,8 +52,7 @@ def counts_of(grouped: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
 
 def counts(lines: DataFrame, words: Sequence[str] = LEVELS, header_only: bool = False) -> DataFrame:
     """``log_level, count`` for every level word, in the order of the words."""
-    counted = counts_of(groups(lines, words, header_only), words)
-    return counted.orderBy("ord").select("log_level", "count")
+    return in_order(counts_of(groups(lines, words, header_only), words))
 
 
 def share_of(grouped: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
@@ -55,7 +64,7 @@ def share_of(grouped: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
 
 def share(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
     """``log_level, count, percent`` where percent is taken of the lines that have a level."""
-    return share_of(groups(lines, words), words).orderBy("ord").select("log_level", "count", "percent")
+    return in_order(share_of(groups(lines, words), words))
 
 
 def _total_columns() -> list[Column]:
@@ -78,7 +87,7 @@ def totals(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
 
 def distinct_levels(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
     """The levels which occur."""
-    return lines.select(parse.level("value", words).alias("log_level")).filter(F.col("log_level") != "").distinct()
+    return groups(lines, words).filter(_named("log_level", "count")).select("log_level")
 
 
 def report_of(grouped: DataFrame, words: Sequence[str] = LEVELS, heading: str | None = None) -> DataFrame:
@@ -122,14 +131,19 @@ def sample(
 
     Without ``key`` the draw depends on the layout of the input. With ``key`` (a column that tells the
     rows apart) the same rows are drawn from any layout. Both keep n rows per task on the way.
+
+    Lines without a level are put last and dropped from the n rows; to filter them first would run the
+    pattern twice per line.
     """
-    found = lines.withColumn("log_level", parse.level("value", words)).filter(F.col("log_level") != "")
+    found = lines.withColumn("log_level", parse.level("value", words))
     if key is None:
-        drawn = found.orderBy(F.rand(seed))
+        order = [F.rand(seed)]
     else:
         key = F.col(key) if isinstance(key, str) else key
-        drawn = found.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), key)
-    return drawn.limit(n).select(F.col("value").alias("log_entry"), "log_level")
+        order = [F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), key]
+    no_level = F.col("log_level") == ""
+    drawn = found.orderBy(no_level, *order).limit(n).filter(~no_level)
+    return drawn.select(F.col("value").alias("log_entry"), "log_level")
 
 
 def occurrences(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:

@@ -27,9 +27,10 @@ def timeline(lines: DataFrame, by: str = "line") -> DataFrame:
         times = (
             lines.filter(F.col("value").contains("application_"))
             .select(parse.app_id("value").alias("application_id"), parse.ts("value").alias("time"))
-            .filter(F.col("application_id") != "")
             .groupBy("application_id")
-            .agg(F.min("time").alias("start_time"), F.max("time").alias("end_time"))
+            .agg(F.min("time").alias("start_time"), F.max("time").alias("end_time"), F.count("*").alias("lines"))
+            # A test of the id alone would be moved below the grouping, and the pattern would run twice.
+            .filter(F.when(F.col("application_id") != "", F.col("lines")) > 0)
         )
     elif by == "path":
         times = (
@@ -70,9 +71,8 @@ def pad(catalog: DataFrame, times: DataFrame) -> DataFrame:
     One full outer join instead of an anti join and a union, so the timeline is computed once. Both sides
     come grouped by the application id.
     """
-    both = catalog.select("application_id").join(times.select("application_id", "start_time", "end_time"),
-                                                 "application_id", "full")
-    return _with_ids(both)
+    bounds = times.select("application_id", "start_time", "end_time")
+    return _with_ids(catalog.select("application_id").join(bounds, "application_id", "full"))
 
 
 def as_text(times: DataFrame) -> DataFrame:
@@ -137,9 +137,9 @@ def report(counts: DataFrame, n: int = 5, heading: str | None = None) -> DataFra
 
 
 def timed_counts(times: DataFrame) -> DataFrame:
-    """``cluster_id, timed``: applications that have a start time, per cluster."""
-    timed = F.when(F.col("start_time").isNotNull(), F.col("application_id"))
-    return times.groupBy("cluster_id").agg(F.count_distinct(timed).alias("timed"))
+    """``cluster_id, timed``: applications that have a start time, per cluster that has any."""
+    timed = times.filter(F.col("start_time").isNotNull())
+    return timed.groupBy("cluster_id").agg(F.count_distinct("application_id").alias("timed"))
 
 
 def largest(counts: DataFrame, times: DataFrame) -> DataFrame:

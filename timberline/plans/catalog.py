@@ -59,12 +59,12 @@ def largest_durations_written(lines: DataFrame) -> DataFrame:
 
 
 def text_scan_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = standins.log_folder(spark, sf_dir)
+    folder = standins.log_folder(spark, sf_dir, by=("app",))
     return levels.counts(sources.read_logs(spark, folder, standins.FOLDER_LOGS))
 
 
 def text_scan_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = standins.log_folder(spark, sf_dir)
+    folder = standins.log_folder(spark, sf_dir, by=("app",))
     lines = sources.read_logs(spark, folder, standins.FOLDER_LOGS)
     return usage.pad(sources.app_catalog(sources.file_inventory(spark, folder)), usage.timeline(lines))
 

@@ -64,29 +64,33 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TYPED + "SELECT event_id, file_path, value FROM l", events=table(spark, sf_dir, "events"))
 
 
-def log_folder(spark: SparkSession, sf_dir: str) -> str:
+def log_folder(spark: SparkSession, sf_dir: str, by: tuple[str, ...] = ("app", "container")) -> str:
     """The same lines as text files, in a folder per application and container; returns the root folder.
 
-    Rows are gathered by folder first, so that a task writes few files; a folder with very many lines is
-    split over several tasks and gets several files.
+    Rows are put in the order of the folders first, so that a task writes few files. The event id ends the
+    order, so a folder with very many lines is split over several tasks and gets several files. The number
+    of tasks is given, as it is the number of files that costs time here, not their size.
     """
     path = scratch_path(spark, "logs")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         logs(spark, sf_dir)
         .select(
+            "event_id",
             parse.app_id("file_path").alias("app"),
             F.concat(parse.container_id("file_path"), F.lit(".log")).alias("container"),
             "value",
         )
-        .hint("rebalance", "app", "container")
-        .write.partitionBy("app", "container")
+        .repartitionByRange(tasks, *by, "event_id")
+        .select("value", *by)
+        .write.partitionBy(*by)
         .text(path)
     )
     return path
 
 
-# Places of a log file in the folder above.
-FOLDER_LOGS = "app=application_*/container=*.log"
+# Places of the log files in the folder above, by application alone.
+FOLDER_LOGS = "app=application_*/*"
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

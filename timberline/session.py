@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.driver.maxResultSize": "2g",
+    # The JVM leaves larger methods uncompiled; Spark then splits a wide expression instead of fusing it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_scratch: str | None = None
