@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from timberline.operators import daily
+from timberline.operators.daily import TripColumns
+
+TRIPS = (
+    "tpep_pickup_datetime timestamp_ntz, trip_distance double, mta_tax double, fare_amount double, "
+    "tip_amount double, passenger_count double"
+)
+
+
+@pytest.fixture
+def trips(spark):
+    day = dt.datetime(2021, 3, 4, 12)
+    rows = [(day, float(i), 0.5, float(i), 1.0, None if i == 1 else 2.0) for i in range(1, 101)]
+    rows += [
+        (dt.datetime(2020, 12, 31, 23, 59, 59), 1.0, 0.5, 1.0, 0.0, 1.0),
+        (dt.datetime(2021, 1, 1, 0, 0, 0), 1.0, 0.5, 1.0, 0.0, 1.0),
+        (dt.datetime(2021, 12, 31, 23, 59, 59), 3.0, 0.8, 9.0, -1.0, 1.5),
+        (dt.datetime(2022, 1, 1, 0, 0, 0), 1.0, 0.5, 1.0, 0.0, 1.0),
+        (None, 1.0, 0.5, 1.0, 0.0, 1.0),
+    ]
+    return spark.createDataFrame(rows, TRIPS)
+
+
+def test_days_of_the_year_latest_first(trips):
+    got = [tuple(row) for row in daily.daily_summary(trips, 2021).collect()]
+    assert got == [
+        (2021, 12, 31, 1, 3.0, 0.8, 9.0, -1.0, 2),
+        (2021, 3, 4, 100, 50.5, 0.5, 95.0, 1.0, 2),
+        (2021, 1, 1, 1, 1.0, 0.5, 1.0, 0.0, 1),
+    ]
+
+
+def test_types(trips):
+    assert [kind for _, kind in daily.daily_summary(trips, 2021).dtypes] == (
+        ["int"] * 3 + ["bigint"] + ["double"] * 4 + ["bigint"]
+    )
+
+
+def test_totals_have_real_dates(trips):
+    totals = daily.daily_totals(daily.daily_summary(trips, 2021)).collect()[0]
+    assert tuple(totals) == (3, dt.date(2021, 1, 1), dt.date(2021, 12, 31), 102, 34.0)
+    empty = daily.daily_totals(daily.daily_summary(trips, 1999)).collect()[0]
+    assert tuple(empty) == (0, None, None, 0, None)
+
+
+def test_latest_and_count(trips):
+    summary = daily.daily_summary(trips, 2021)
+    assert [row.dt_month for row in daily.latest(summary, 2).collect()] == [12, 3]
+    assert daily.year_count(trips, 2021).collect()[0].num_trips == 102
+
+
+def test_other_column_names(trips):
+    renamed = trips.toDF("t", "d", "x", "f", "p", "n")
+    summary = daily.daily_summary(renamed, 2021, TripColumns("t", "d", "x", "f", "p", "n"))
+    assert [row.num_trips for row in summary.collect()] == [1, 100, 1]
+
+
+def test_year_does_not_depend_on_the_zone(spark, trips):
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert [row.num_trips for row in daily.daily_summary(trips, 2021).collect()] == [1, 100, 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import datetime as dt
+import math
+import random
+
+import numpy as np
+import pytest
+
+from timberline.operators import durations
+
+TIMES = "cluster_id string, application_id string, start_time timestamp_ntz, end_time timestamp_ntz"
+START = dt.datetime(2017, 3, 29, 10, 0, 0)
+
+
+@pytest.fixture
+def timeline(spark):
+    def make(seconds, cluster="a"):
+        rows = [
+            (cluster, f"{cluster}{i}", START, None if s is None else START + dt.timedelta(seconds=s))
+            for i, s in enumerate(seconds)
+        ]
+        return spark.createDataFrame(rows, TIMES)
+
+    return make
+
+
+def by_bin(df):
+    return {row.bin: row for row in df.collect()}
+
+
+def test_only_positive_durations(timeline):
+    got = durations.durations(timeline([10, 0, None, -5, 90061])).collect()
+    assert sorted(row.duration for row in got) == [10, 90061]
+    assert [row.log_duration for row in got if row.duration == 10] == [1.0]
+
+
+def test_durations_do_not_depend_on_the_zone(spark, timeline):
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        rows = [("a", "x", dt.datetime(2017, 3, 26, 1, 30), dt.datetime(2017, 3, 26, 3, 30))]
+        assert durations.durations(spark.createDataFrame(rows, TIMES)).collect()[0].duration == 7200
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_one_cluster(spark, timeline):
+    both = timeline([10, 20]).unionByName(timeline([30], "b"))
+    assert [row.duration for row in durations.durations(both, "b").collect()] == [30]
+    largest = spark.createDataFrame([("a", 2)], "cluster_id string, num_applications long")
+    assert sorted(row.duration for row in durations.durations(both, largest).collect()) == [10, 20]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_histogram_and_density_against_numpy(timeline, seed):
+    rng = random.Random(seed)
+    seconds = [int(math.exp(rng.uniform(0, 9))) + 1 for _ in range(300)] + [777] * 100
+    d = durations.durations(timeline(seconds))
+    x = np.log10(np.array(seconds, dtype=float))
+    want, edges = np.histogram(x, bins=30)
+    got = by_bin(durations.histogram(d))
+    assert [got[i + 1]["count"] for i in range(30)] == want.tolist()
+    assert np.allclose([got[i + 1].bin_from for i in range(30)], edges[:-1])
+    assert np.allclose([got[i + 1].bin_to for i in range(30)], edges[1:])
+    assert np.isclose(got[1].density_scale, len(x) * (edges[1] - edges[0]))
+
+    h = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min() - 3 * h, x.max() + 3 * h, 200)
+    curve = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(axis=1) / (len(x) * h * math.sqrt(2 * math.pi))
+    points = sorted(durations.density(d).collect())
+    assert [p.point for p in points] == list(range(200))
+    assert np.allclose([p.x for p in points], grid)
+    assert np.allclose([p.density for p in points], curve)
+
+
+def test_equal_durations_lie_in_one_bin(timeline):
+    d = durations.durations(timeline([60, 60, 60]))
+    got = by_bin(durations.histogram(d))
+    assert got[1]["count"] == 3 and sum(row["count"] for row in got.values()) == 3
+    assert durations.density(d).collect() == []
+
+
+def test_single_duration(timeline):
+    d = durations.durations(timeline([60]))
+    assert by_bin(durations.histogram(d))[1]["count"] == 1
+    assert durations.density(d).collect() == []
+
+
+def test_no_durations(timeline):
+    d = durations.durations(timeline([0, None]))
+    assert durations.histogram(d).collect() == []
+    assert durations.density(d).collect() == []
+    assert durations.ticks(d).collect() == []
+
+
+def test_ticks(timeline):
+    got = sorted(durations.ticks(durations.durations(timeline([5, 12000]))).collect())
+    assert [tuple(row) for row in got] == [(0, "1"), (1, "10"), (2, "100"), (3, "1,000"), (4, "10,000"), (5, "100,000")]

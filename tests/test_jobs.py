@@ -1,0 +1,123 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from timberline import sources
+from timberline.plans import jobs
+
+LOG = {
+    "application_10_0001/container_10_0001_01_000001.log": [
+        "17/03/29 10:00:00 INFO a: start application_10_0001",
+        '17/03/29 10:00:01 WARN a: quoted "x", of application_10_0001',
+        "17/03/29 10:10:00 INFO a: end application_10_0001",
+    ],
+    "application_10_0002/container_10_0002_01_000001.log": [
+        "2017-03-29 10:00:00 INFO a: start application_10_0002",
+        "2017-03-29 10:00:10 ERROR a: end application_10_0002",
+    ],
+    "application_10_0003/container_10_0003_01_000001.log": ["    no id, no time"],
+    "application_20_0001/container_20_0001_01_000001.log": ["16/01/01 00:00:00 INFO a: only application_20_0001"],
+}
+
+
+@pytest.fixture
+def log_dir(tmp_path):
+    root = tmp_path / "logs"
+    for name, content in LOG.items():
+        target = root / name
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_text("".join(line + "\n" for line in content))
+    return str(root)
+
+
+def csv(spark, path):
+    return sorted((tuple(row) for row in spark.read.option("header", True).option("escape", '"').csv(path).collect()), key=str)
+
+
+def text(spark, path):
+    return [row.value for row in spark.read.text(path).collect()]
+
+
+def test_log_levels(spark, log_dir, tmp_path):
+    out = str(tmp_path / "out")
+    jobs.log_levels(spark, log_dir, out, heading="Label: x", sample_size=3, repeatable=True)
+    assert csv(spark, out + "/level_counts") == [("DEBUG", "0"), ("ERROR", "1"), ("INFO", "4"), ("WARN", "1")]
+    assert text(spark, out + "/level_summary")[:4] == [
+        "Label: x",
+        "Total log lines processed: 7",
+        "Total lines with log levels: 6",
+        "Unique log levels found: 3",
+    ]
+    sample = csv(spark, out + "/level_sample")
+    assert len(sample) == 3
+    assert {entry for entry, _ in sample} <= {line for content in LOG.values() for line in content}
+
+
+def test_log_levels_random(spark, log_dir, tmp_path):
+    out = str(tmp_path / "out")
+    jobs.log_levels(spark, log_dir, out)
+    assert len(csv(spark, out + "/level_sample")) == 6
+    assert text(spark, out + "/level_summary")[0].startswith("Total log lines")
+
+
+def test_cluster_usage(spark, log_dir, tmp_path):
+    out = str(tmp_path / "out")
+    jobs.cluster_usage(spark, log_dir, out, heading="Label: x")
+    assert csv(spark, out + "/timeline") == [
+        ("10", "application_10_0001", "2017-03-29 10:00:00", "2017-03-29 10:10:00"),
+        ("10", "application_10_0002", "2017-03-29 10:00:00", "2017-03-29 10:00:10"),
+        ("10", "application_10_0003", None, None),
+        ("20", "application_20_0001", "2016-01-01 00:00:00", "2016-01-01 00:00:00"),
+    ]
+    assert csv(spark, out + "/cluster_summary") == [
+        ("10", "3", "2017-03-29 10:00:00", "2017-03-29 10:10:00"),
+        ("20", "1", "2016-01-01 00:00:00", "2016-01-01 00:00:00"),
+    ]
+    assert text(spark, out + "/stats") == [
+        "Label: x",
+        "Total unique clusters: 2",
+        "Total applications: 4",
+        "Average applications per cluster: 2.00",
+        "",
+        "Most heavily used clusters:",
+        "  Cluster 10: 3 applications",
+        "  Cluster 20: 1 applications",
+    ]
+    assert csv(spark, out + "/charts/largest_cluster") == [("10", "3", "2")]
+    assert sum(int(row[3]) for row in csv(spark, out + "/charts/duration_histogram")) == 2
+    assert len(csv(spark, out + "/charts/duration_density")) == 200
+
+    # The chart tables can be made again from the results alone.
+    again = str(tmp_path / "again")
+    jobs.chart_tables(spark, out, again)
+    for name in ("largest_cluster", "duration_histogram", "duration_density", "duration_ticks"):
+        assert csv(spark, f"{again}/{name}") == csv(spark, f"{out}/charts/{name}")
+
+
+def test_catalog_given_by_the_caller(spark, log_dir, tmp_path):
+    out = str(tmp_path / "out")
+    rows = [("30", "application_30_0001", "0001")]
+    catalog = spark.createDataFrame(rows, "cluster_id string, application_id string, app_number string")
+    jobs.cluster_usage(spark, log_dir, out, catalog=catalog, by="path")
+    assert csv(spark, out + "/cluster_summary") == [("30", "1", None, None)]
+    assert ("30", "application_30_0001", None, None) in csv(spark, out + "/timeline")
+
+
+def test_daily_trips(spark, tmp_path):
+    rows = [(dt.datetime(2021, 1, d, 8), 1.0, 0.5, 10.0 * d, 0.0, 1.0) for d in (1, 2, 2)]
+    trips = spark.createDataFrame(
+        rows,
+        "tpep_pickup_datetime timestamp_ntz, trip_distance double, mta_tax double, fare_amount double, "
+        "tip_amount double, passenger_count double",
+    )
+    paths = sources.month_paths(str(tmp_path / "trips"), 2021, [1])
+    trips.write.parquet(paths[0])
+    out = str(tmp_path / "out")
+    jobs.daily_trips(spark, paths, out, 2021)
+    assert csv(spark, out + "/daily_summary") == [
+        ("2021", "1", "1", "1", "1.0", "0.5", "10.0", "0.0", "1"),
+        ("2021", "1", "2", "2", "1.0", "0.5", "20.0", "0.0", "1"),
+    ]
+    assert csv(spark, out + "/daily_totals") == [("2", "2021-01-01", "2021-01-02", "3", "1.5")]

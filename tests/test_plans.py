@@ -1,0 +1,86 @@
+"""Properties of the plans that decide how the queries behave on large tables."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry_points
+from timberline import sources
+from timberline.operators import daily, levels, messages, usage
+from timberline.plans import standins
+
+WRITERS = {"month_scan", "year_scan", "app_file_bytes", "app_size_stats", "text_scan_levels", "text_scan_timeline"}
+
+
+def physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(plan: str) -> int:
+    return plan.count(" Exchange ")
+
+
+@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - WRITERS))
+def test_no_cross_joins_and_no_python(spark, small_dir, name):
+    plan = physical(entry_points.queries()[name](spark, small_dir))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "MapInArrow", "ExistingRDD"):
+        assert node not in plan, (name, node)
+
+
+@pytest.fixture
+def text_lines(spark, tmp_path):
+    (tmp_path / "application_1_0001").mkdir()
+    (tmp_path / "application_1_0001" / "container_1_0001_01_000001.log").write_text("17/03/29 10:00:00 INFO a: b\n")
+    return sources.read_logs(spark, str(tmp_path))
+
+
+def test_levels_take_one_scan_and_one_pattern_per_line(text_lines):
+    for operator in (levels.totals, levels.counts, levels.share, levels.report, levels.distinct_levels, levels.sample):
+        plan = physical(operator(text_lines))
+        assert plan.count("FileScan text") == 1, operator
+        # The pattern is used in one place only and no filter repeats it on the raw lines.
+        assert plan.count("regexp_extract(value") == 1, operator
+        assert "Filter (isnotnull(value" not in plan
+
+
+def test_samples_keep_n_rows_per_task(text_lines):
+    assert "TakeOrderedAndProject" in physical(levels.sample(text_lines))
+    assert exchanges(physical(levels.sample(text_lines))) == 0
+
+
+def test_timeline_shuffles_once_and_pads_without_more(text_lines):
+    timeline = usage.timeline(text_lines)
+    assert exchanges(physical(timeline)) == 1
+    catalog = sources.app_catalog(sources.files_of(text_lines))
+    padded = physical(usage.pad(catalog, timeline))
+    # One for the catalog and one for the timeline; none for the join.
+    assert exchanges(padded) == 2
+    assert padded.count("FileScan text") == 2
+
+
+def test_line_filters_test_plain_text_first(text_lines):
+    plan = physical(messages.resource_requests(text_lines))
+    assert plan.index("Contains(value") < plan.index("RLIKE")
+
+
+def test_text_scans_without_lines_read_no_value(text_lines):
+    plan = physical(messages.inventory(text_lines))
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_trips_are_pruned_and_filtered_in_the_scan(spark, small_dir):
+    trips = standins.trips(spark, small_dir)
+    summary = daily.daily_summary(trips, 1997)
+    plan = spark._jvm.PythonSQLUtils.explainString(summary._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(l_shipdate,1997-01-01T00:00), LessThan(l_shipdate,1998-01-01T00:00)" in plan
+    assert "l_orderkey" not in plan and "l_returnflag" not in plan
+    # One shuffle of partial results per day, and one for the order of the days.
+    assert exchanges(physical(summary)) == 2
+    assert "partial_percentile_approx" in plan
+    count = physical(daily.year_count(trips, 1997))
+    assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in count
+
+
+def test_partition_filters(spark, small_dir):
+    plan = physical(entry_points.queries()["year_scan"](spark, small_dir))
+    assert "PartitionFilters: [isnotnull(yyyy" in plan

@@ -1,0 +1,43 @@
+"""Every registered query against its SQL, over whole tables."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry_points
+from tests.compare import assert_same, connect
+
+QUERIES = entry_points.queries()
+ORACLES = entry_points.oracle_sql()
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sf_dir, con, name):
+    df = QUERIES[name](spark, sf_dir)
+    assert_same(df, con, ORACLES[name])
+    sql_types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    assert {column: TYPES[kind] for column, kind in df.dtypes} == sql_types
+
+
+def test_only_the_random_draw_has_no_sql():
+    assert set(QUERIES) - set(ORACLES) == {"log_sample_rand"}
+    assert set(ORACLES) <= set(QUERIES)
+
+
+def test_random_draw(spark, sf_dir):
+    rows = QUERIES["log_sample_rand"](spark, sf_dir).collect()
+    assert len(rows) == 10
+    assert all(row.log_level in row.log_entry for row in rows)
+    assert {row.log_level for row in rows} <= {"INFO", "WARN", "ERROR", "DEBUG"}
+
+
+def test_entry(spark, small_dir):
+    rows = entry_points.entry(spark).collect()
+    assert [row.log_level for row in rows] == ["INFO", "WARN", "ERROR", "DEBUG"]
+    assert rows[3]["count"] == 0

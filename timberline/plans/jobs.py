@@ -56,23 +56,23 @@ def cluster_usage(
     sinks.write_csv(usage.as_text(times), f"{output_dir}/timeline")
     sinks.write_csv(usage.cluster_summary(catalog, times), f"{output_dir}/cluster_summary")
     sinks.write_lines(usage.report(counts, heading=heading), f"{output_dir}/stats")
-    _chart_tables(times, counts, output_dir)
+    _chart_tables(times, counts, f"{output_dir}/charts")
 
 
-def chart_tables(spark: SparkSession, output_dir: str) -> None:
-    """The tables behind the charts from the results of an earlier run; no log is read."""
-    times = sources.read_results(spark, f"{output_dir}/timeline", sources.TIMELINE_SCHEMA)
-    summary = sources.read_results(spark, f"{output_dir}/cluster_summary", sources.SUMMARY_SCHEMA)
+def chart_tables(spark: SparkSession, results_dir: str, output_dir: str) -> None:
+    """The tables behind the charts from the results of an earlier ``cluster_usage``; no log is read."""
+    times = sources.read_results(spark, f"{results_dir}/timeline", sources.TIMELINE_SCHEMA)
+    summary = sources.read_results(spark, f"{results_dir}/cluster_summary", sources.SUMMARY_SCHEMA)
     _chart_tables(times, summary, output_dir)
 
 
 def _chart_tables(times: DataFrame, counts: DataFrame, output_dir: str) -> None:
     largest = usage.largest(counts, times)
     d = materialize(durations.durations(times, largest), "durations")
-    sinks.write_csv(largest, f"{output_dir}/charts/largest_cluster")
-    sinks.write_csv(durations.histogram(d), f"{output_dir}/charts/duration_histogram")
-    sinks.write_csv(durations.density(d), f"{output_dir}/charts/duration_density")
-    sinks.write_csv(durations.ticks(d), f"{output_dir}/charts/duration_ticks")
+    sinks.write_csv(largest, f"{output_dir}/largest_cluster")
+    sinks.write_csv(durations.histogram(d), f"{output_dir}/duration_histogram")
+    sinks.write_csv(durations.density(d), f"{output_dir}/duration_density")
+    sinks.write_csv(durations.ticks(d), f"{output_dir}/duration_ticks")
 
 
 def daily_trips(

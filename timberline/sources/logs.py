@@ -39,7 +39,7 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
 
 
 def files_of(lines: DataFrame) -> DataFrame:
-    """The distinct ``file_path`` of a line table. Ids are then parsed once per file, not once per line."""
+    """The distinct ``file_path`` of a line table, for lines that are no files one could list."""
     return lines.select("file_path").distinct()
 
 
