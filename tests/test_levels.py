@@ -2,7 +2,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from timberline.functions import parse
 from timberline.operators import levels
+from timberline.plans import standins
 
 
 def rows(df):
@@ -90,6 +92,14 @@ def test_sample_larger_than_the_lines_with_a_level(lines):
     assert len(levels.sample(lines(*LOG), 10).collect()) == 3
 
 
+def test_occurrences_equal_the_words_of_the_lines(spark, sf_dir):
+    logs = standins.logs(spark, sf_dir)
+    words = logs.select(F.explode(parse.level_words()).alias("log_level")).groupBy("log_level").count()
+    assert sorted(rows(levels.occurrences(logs))) == sorted(rows(words))
+
+
 def test_occurrences_count_each_word(lines):
     got = dict(rows(levels.occurrences(lines("INFO x WARN INFORMATION", "nothing"))))
     assert got == {"INFO": 2, "WARN": 1}
+    assert rows(levels.occurrences(lines("é INFOINFO ü").limit(1))) == [("INFO", 2)]
+    assert rows(levels.occurrences(lines("INFO").limit(0))) == []

@@ -57,7 +57,7 @@ def level(
 
 
 def level_words(line: Column | str = "value", words: Sequence[str] = LEVELS) -> Column:
-    """All level words of the line, as an array, without word boundaries."""
+    """All level words of the line in their order, as an array, without word boundaries."""
     return F.regexp_extract_all(_col(line), F.lit(f"({_words(words)})"), F.lit(1))
 
 

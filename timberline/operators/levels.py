@@ -146,10 +146,16 @@ def sample(
     return drawn.select(F.col("value").alias("log_entry"), "log_level")
 
 
-def occurrences(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
-    """``log_level, count`` over every level word of every line, word boundaries not asked for."""
-    return (
-        lines.select(F.explode(parse.level_words("value", words)).alias("log_level"))
-        .groupBy("log_level")
-        .agg(F.count("*").alias("count"))
-    )
+def occurrences(lines: DataFrame) -> DataFrame:
+    """``log_level, count`` over every level word of every line, word boundaries not asked for.
+
+    The words cannot overlap, so a word's count is the length lost when it is cut out of the line, divided
+    by its own. This equals counting ``parse.level_words`` and needs neither a pattern nor a row per word.
+    """
+
+    def found(word: str) -> Column:
+        rest = F.replace(F.col("value"), F.lit(word), F.lit(""))
+        return F.sum(F.octet_length("value") - F.octet_length(rest)) / F.lit(len(word))
+
+    one = lines.agg(*[found(word).cast("bigint").alias(word) for word in LEVELS])
+    return one.unpivot([], list(LEVELS), "log_level", "count").filter("count > 0")

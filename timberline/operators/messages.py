@@ -19,7 +19,7 @@ EXECUTOR_REQUEST = r"Will request \d+ executor containers, each with \d+ cores a
 CONTAINER_REQUEST = r"<memory:\d+, vCores:\d+>"
 TASK = r"(?:Running|Finished) task \d+\.\d+ in stage \d+\.\d+ \(TID \d+\)"
 PYTHON_TIMES = r"Times: total = -?\d+, boot = -?\d+, init = -?\d+, finish = -?\d+"
-BLOCK_STORED = r"Block (\S+) stored as \w+ in memory \(estimated size ([\d.]+) (B|KB|MB|GB|TB), free ([\d.]+) (B|KB|MB|GB|TB)\)"
+BLOCK_STORED = r"Block \S+ stored as \w+ in memory \(estimated size [\d.]+ (?:B|KB|MB|GB|TB), free [\d.]+ (?:B|KB|MB|GB|TB)\)"
 MEMORY_CAPACITY = r"MemoryStore started with capacity ([\d.]+) (B|KB|MB|GB|TB)"
 INPUT_SPLIT = r"Input split: (\S+):(\d+)\+(\d+)"
 BROADCAST_READ = r"Started reading broadcast variable (\d+)"
@@ -151,14 +151,20 @@ def first_python_times(times: DataFrame, n: int = 20) -> DataFrame:
 
 def stored_blocks(lines: DataFrame) -> DataFrame:
     """``application_id, block, kind, size_bytes, free_bytes``, one row per stored block."""
-    part = {i: F.regexp_extract("value", BLOCK_STORED, i) for i in range(1, 6)}
-    blocks = _holding(lines, "stored as ", BLOCK_STORED)
+    found = F.regexp_extract("value", BLOCK_STORED, 0)
+    blocks = _holding(lines, "stored as ", BLOCK_STORED).withColumn("part", F.split(found, " "))
+
+    def part(i: int) -> Column:
+        return F.translate(F.get("part", F.lit(i)), ",)", "")
+
+    # Block <name> stored as <form> in memory (estimated size <n> <unit>, free <n> <unit>)
+    name = F.get("part", F.lit(1))
     return blocks.select(
         _owner(),
-        part[1].alias("block"),
-        F.substring_index(part[1], "_", 1).alias("kind"),
-        _bytes(part[2], part[3]).alias("size_bytes"),
-        _bytes(part[4], part[5]).alias("free_bytes"),
+        name.alias("block"),
+        F.substring_index(name, "_", 1).alias("kind"),
+        _bytes(part(9), part(10)).alias("size_bytes"),
+        _bytes(part(12), part(13)).alias("free_bytes"),
     )
 
 
