@@ -50,14 +50,11 @@ def padded(lines: DataFrame) -> DataFrame:
 
 
 def largest_durations(lines: DataFrame) -> DataFrame:
+    # The lines are read once; what follows reads the small written timeline more than once.
     times = materialize(padded(lines), "timeline")
     return durations.durations(times, usage.largest(usage.cluster_counts(times), times))
 
 
-def largest_durations_written(lines: DataFrame) -> DataFrame:
-    return materialize(largest_durations(lines), "durations")
-
-
 def text_scan_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = standins.log_folder(spark, sf_dir, by=("app",))
     return levels.counts(sources.read_logs(spark, folder, standins.FOLDER_LOGS))
@@ -152,9 +149,9 @@ QUERIES: dict[str, Query] = {
     "cluster_largest": on_logs(lambda lines: usage.largest(counts_of(lines), usage.timeline(lines))),
     # durations
     "app_durations": on_logs(largest_durations),
-    "duration_histogram": on_logs(lambda lines: durations.histogram(largest_durations_written(lines))),
+    "duration_histogram": on_logs(lambda lines: durations.histogram(largest_durations(lines))),
     "duration_ticks": on_logs(lambda lines: durations.ticks(largest_durations(lines))),
-    "duration_density": on_logs(lambda lines: durations.density(largest_durations_written(lines))),
+    "duration_density": on_logs(lambda lines: durations.density(largest_durations(lines))),
     # messages
     "component_top20": on_logs(messages.components),
     "error_lines": on_logs(messages.error_lines),

@@ -21,36 +21,47 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# With few cores, thousands of small listing tasks cost more than the listing.
+LOCAL_LISTING_TASKS = 64
+
 _local_scratch: str | None = None
 
 
-def session(
-    app_name: str = "timberline",
-    master: str | None = None,
+def settings(
     shuffle_partitions: int | None = None,
+    listing_tasks: int | None = None,
     s3_credentials: str | None = None,
     **extra: str,
-) -> SparkSession:
-    """Build the session.
+) -> dict[str, str]:
+    """Settings of a session, by name.
 
     ``shuffle_partitions`` is the starting point of adaptive execution; give about two to three times the
-    cluster's cores for large inputs. ``s3_credentials`` is the class name of a credentials provider and
-    turns on the S3A file system. Further settings are given in ``extra`` with ``__`` for each dot, for
-    example ``spark__executor__memory="16g"``.
+    cluster's cores for large inputs. ``listing_tasks`` bounds the tasks that list folders; Spark's own
+    bound, one folder per task up to 10,000, suits a large cluster. ``s3_credentials`` is the class name of
+    a credentials provider and turns on the S3A file system. Further settings are given in ``extra`` with ``__`` for each dot, for
+    example ``spark__executor__memory="16g"``, and win over those above.
     """
+    chosen = dict(SETTINGS)
+    if shuffle_partitions:
+        chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if listing_tasks:
+        chosen["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(listing_tasks)
+    if s3_credentials:
+        chosen["spark.hadoop.fs.s3a.impl"] = "org.apache.hadoop.fs.s3a.S3AFileSystem"
+        chosen["spark.hadoop.fs.s3a.aws.credentials.provider"] = s3_credentials
+    chosen.update({key.replace("__", "."): value for key, value in extra.items()})
+    return chosen
+
+
+def session(app_name: str = "timberline", master: str | None = None, **chosen) -> SparkSession:
+    """Build the session; ``chosen`` is passed on to ``settings``. Without ``master``, as submitted."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+        if master.startswith("local"):
+            chosen.setdefault("listing_tasks", LOCAL_LISTING_TASKS)
+    for key, value in settings(**chosen).items():
         builder = builder.config(key, value)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    if s3_credentials:
-        builder = builder.config("spark.hadoop.fs.s3a.impl", "org.apache.hadoop.fs.s3a.S3AFileSystem").config(
-            "spark.hadoop.fs.s3a.aws.credentials.provider", s3_credentials
-        )
-    for key, value in extra.items():
-        builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
