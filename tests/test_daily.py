@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from timberline.operators import daily
 from timberline.operators.daily import TripColumns
@@ -55,6 +56,28 @@ def test_latest_and_count(trips):
     assert daily.year_count(trips, 2021).collect()[0].num_trips == 102
 
 
+def test_day_with_most_trips(spark):
+    """A day spread over many tasks: exact figures, and a percentile within the error of its accuracy."""
+    n = 60000
+    trips = spark.range(0, n, 1, 16).select(
+        F.when(F.col("id") % 3 > 0, F.lit("2021-05-01")).otherwise(F.date_add(F.lit("2021-05-02"), (F.col("id") % 9).cast("int")).cast("string"))
+        .cast("timestamp_ntz")
+        .alias("tpep_pickup_datetime"),
+        F.col("id").cast("double").alias("trip_distance"),
+        F.lit(0.5).alias("mta_tax"),
+        (F.col("id") * 7919 % n).cast("double").alias("fare_amount"),
+        F.lit(0.0).alias("tip_amount"),
+        F.lit(1).alias("passenger_count"),
+    )
+    for groups in (1, 4, 64):
+        got = daily.daily_summary(trips, 2021, merge_groups=groups).collect()
+        assert sum(row.num_trips for row in got) == n
+        hot = got[-1]
+        assert (hot.dt_month, hot.dt_day, hot.num_trips) == (5, 1, n * 2 // 3)
+        below = trips.filter("tpep_pickup_datetime = '2021-05-01'").filter(F.col("fare_amount") <= hot.q95_fare_amount).count()
+        assert abs(below / hot.num_trips - 0.95) < 0.001
+
+
 def test_other_column_names(trips):
     renamed = trips.toDF("t", "d", "x", "f", "p", "n")
     summary = daily.daily_summary(renamed, 2021, TripColumns("t", "d", "x", "f", "p", "n"))

@@ -74,9 +74,10 @@ def test_trips_are_pruned_and_filtered_in_the_scan(spark, small_dir):
     plan = spark._jvm.PythonSQLUtils.explainString(summary._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(l_shipdate,1997-01-01T00:00), LessThan(l_shipdate,1998-01-01T00:00)" in plan
     assert "l_orderkey" not in plan and "l_returnflag" not in plan
-    # One shuffle of partial results per day, and one for the order of the days.
-    assert exchanges(physical(summary)) == 2
-    assert "partial_percentile_approx" in plan
+    # Partial results by day and group of scan tasks, then by day, then the order of the days.
+    assert exchanges(physical(summary)) == 3
+    assert "partial_percentile_approx" in plan and "merge_percentile_approx" in plan
+    assert "SPARK_PARTITION_ID() % 64" in plan
     count = physical(daily.year_count(trips, 1997))
     assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in count
 

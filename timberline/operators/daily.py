@@ -23,6 +23,7 @@ class TripColumns:
 TLC = TripColumns()
 FARE_QUANTILE = 0.95
 DAY = ["dt_year", "dt_month", "dt_day"]
+MERGE_GROUPS = 64
 
 
 def in_year(trips: DataFrame, year: int, columns: TripColumns = TLC) -> DataFrame:
@@ -36,15 +37,27 @@ def _latest_first() -> list[Column]:
     return [F.desc(name) for name in DAY]
 
 
-def daily_summary(trips: DataFrame, year: int, columns: TripColumns = TLC, accuracy: int = 10000) -> DataFrame:
+def daily_summary(
+    trips: DataFrame,
+    year: int,
+    columns: TripColumns = TLC,
+    accuracy: int = 10000,
+    merge_groups: int = MERGE_GROUPS,
+) -> DataFrame:
     """One row per day of ``year``, latest first.
 
     Trips are grouped by one date value; year, month and day are taken from it once per day.
+
+    Each scan task has one sketch of the fares per day. So that no single task has to merge all sketches of
+    a day with very many trips, the scan tasks fall into ``merge_groups``: counting these groups as distinct
+    values makes Spark merge by day and group first, and by day alone after that.
     """
     return (
         in_year(trips, year, columns)
+        .withColumn("merge_group", F.spark_partition_id() % merge_groups)
         .groupBy(F.to_date(columns.pickup).alias("day"))
         .agg(
+            F.count_distinct("merge_group").alias("merge_groups"),
             F.count("*").alias("num_trips"),
             F.avg(columns.distance).alias("mean_trip_distance"),
             F.max(columns.tax).alias("max_mta_tax"),
@@ -52,6 +65,8 @@ def daily_summary(trips: DataFrame, year: int, columns: TripColumns = TLC, accur
             F.min(columns.tip).alias("min_tip_amount"),
             F.ceil(F.avg(columns.passengers)).alias("mean_passenger_count"),
         )
+        # Always true; a column nobody uses would be left out of the plan.
+        .filter("merge_groups > 0")
         .select(
             F.year("day").alias("dt_year"),
             F.month("day").alias("dt_month"),

@@ -38,8 +38,8 @@ def settings(
     ``shuffle_partitions`` is the starting point of adaptive execution; give about two to three times the
     cluster's cores for large inputs. ``listing_tasks`` bounds the tasks that list folders; Spark's own
     bound, one folder per task up to 10,000, suits a large cluster. ``s3_credentials`` is the class name of
-    a credentials provider and turns on the S3A file system. Further settings are given in ``extra`` with ``__`` for each dot, for
-    example ``spark__executor__memory="16g"``, and win over those above.
+    a credentials provider and turns on the S3A file system. Further settings are given in ``extra`` with
+    ``__`` for each dot, for example ``spark__executor__memory="16g"``, and win over those above.
     """
     chosen = dict(SETTINGS)
     if shuffle_partitions:
