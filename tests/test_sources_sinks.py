@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from timberline import sinks, sources
 from timberline.functions import parse
 from timberline.operators import basics, messages
-from timberline.session import materialize, scratch_path
+from timberline.session import clean_scratch, scratch_root, materialize, scratch_path
 
 
 @pytest.fixture
@@ -131,28 +131,41 @@ def test_lines_keep_their_order(spark, tmp_path):
     assert open(part).read().splitlines() == [f"line {i}" for i in range(50)]
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
+def test_one_scratch_rule_for_all_masters(monkeypatch):
     class Conf:
         def __init__(self, values):
-            self.values = values
+            self.values = {"spark.sql.warehouse.dir": "hdfs://n/warehouse"} | values
 
         def get(self, key, default=None):
             return self.values.get(key, default)
 
+    class Context:
+        def __init__(self, name):
+            self.applicationId, self._jsc = name, None
+
     class Session:
-        def __init__(self, **values):
-            self.conf = Conf(values)
+        def __init__(self, name, **values):
+            self.conf, self.sparkContext = Conf(values), Context(name)
 
-    shared = Session(**{"spark.checkpoint.dir": "hdfs://n/shared/", "spark.master": "spark://n:7077"})
-    assert scratch_path(shared, "t").startswith("hdfs://n/shared/t-")
-    with pytest.raises(ValueError):
-        scratch_path(Session(**{"spark.master": "spark://n:7077"}), "t")
-    local = Session(**{"spark.master": "local[2]"})
-    first, second = (scratch_path(local, "t") for _ in range(2))
-    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    monkeypatch.setattr("timberline.session._roots", {})
+    for master in ("spark://n:7077", "local[2]", "local-cluster[2,1,1024]"):
+        shared = Session("a" + master, **{"spark.checkpoint.dir": "hdfs://n/shared/", "spark.master": master})
+        assert scratch_path(shared, "t").startswith("hdfs://n/shared/session-")
+        unset = Session("b" + master, **{"spark.master": master})
+        first, second = (scratch_path(unset, "t") for _ in range(2))
+        assert first.startswith("hdfs://n/warehouse/scratch/session-")
+        assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
 
 
 def test_materialize(spark):
     df = spark.range(10).withColumn("x", F.lit("a"))
     kept = materialize(df, "ten")
     assert kept.dtypes == df.dtypes and kept.count() == 10
+
+
+def test_clean_up_leaves_no_folder(spark):
+    materialize(spark.range(3), "three")
+    root = scratch_root(spark).removeprefix("file:")
+    assert glob.glob(root + "/three-*/*.parquet")
+    clean_scratch(spark)
+    assert not glob.glob(root)

@@ -1,5 +1,5 @@
 """Batch analytics over container logs and trip records, written as Spark DataFrame jobs."""
 
-from timberline.session import materialize, scratch_path, session
+from timberline.session import clean_scratch, materialize, scratch_path, session
 
-__all__ = ["materialize", "scratch_path", "session"]
+__all__ = ["clean_scratch", "materialize", "scratch_path", "session"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +21,11 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-# With few cores, thousands of small listing tasks cost more than the listing.
-LOCAL_LISTING_TASKS = 64
+# Folder below the warehouse that takes the place of spark.checkpoint.dir where that is not set.
+SCRATCH_FOLDER = "scratch"
 
-_local_scratch: str | None = None
+# Roots made by this process, by application: one folder for each session.
+_roots: dict[str, str] = {}
 
 
 def settings(
@@ -58,27 +59,47 @@ def session(app_name: str = "timberline", master: str | None = None, **chosen) -
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
-            chosen.setdefault("listing_tasks", LOCAL_LISTING_TASKS)
     for key, value in settings(**chosen).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The session's own folder in ``spark.checkpoint.dir``, or where that is unset in the warehouse.
+
+    The rule is the same for every master. Both folders are shared by the driver and all executors.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _roots:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{SCRATCH_FOLDER}"
+        _roots[app] = f"{shared.rstrip('/')}/session-{app}-{uuid.uuid4().hex}"
+        atexit.register(clean_scratch, spark)
+    return _roots[app]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh path in the session's shared folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through its own file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what the session has written to its shared folder; also called when the process ends.
 
-    Only a local session may do without that setting; it then gets one folder per process.
+    A session that was stopped before can no longer reach the file system, so call this before ``stop``.
     """
-    global _local_scratch
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if _local_scratch is None:
-            _local_scratch = tempfile.mkdtemp(prefix="run-")
-        root = _local_scratch
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if spark.sparkContext._jsc is None:
+        return
+    root = _roots.pop(spark.sparkContext.applicationId, None)
+    if root:
+        delete_path(spark, root)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
