@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import importlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from timberline import sinks, sources
 from timberline.functions import parse
 from timberline.operators import basics, messages
-from timberline.session import clean_scratch, scratch_root, materialize, scratch_path
+from timberline.session import clean_scratch, materialize, scratch_path, scratch_root
 
 
 @pytest.fixture
@@ -147,7 +148,7 @@ def test_one_scratch_rule_for_all_masters(monkeypatch):
         def __init__(self, name, **values):
             self.conf, self.sparkContext = Conf(values), Context(name)
 
-    monkeypatch.setattr("timberline.session._roots", {})
+    monkeypatch.setattr(importlib.import_module("timberline.session"), "_roots", {})
     for master in ("spark://n:7077", "local[2]", "local-cluster[2,1,1024]"):
         shared = Session("a" + master, **{"spark.checkpoint.dir": "hdfs://n/shared/", "spark.master": master})
         assert scratch_path(shared, "t").startswith("hdfs://n/shared/session-")
