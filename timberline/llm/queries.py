@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from timberline.llm.sharding import op1_sharding
+from timberline.llm.warc import op10_warc
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {}
