@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from timberline.llm.packing import op3_packing
 from timberline.llm.sharding import op1_sharding
 from timberline.llm.warc import op10_warc
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op3_packing": op3_packing,
     "op10_warc": op10_warc,
 }
 
