@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from timberline.llm.decontamination import op4_decontamination
+from timberline.llm.oracles import ORACLES
 from timberline.llm.packing import op3_packing
 from timberline.llm.sharding import op1_sharding
 from timberline.llm.warc import op10_warc
@@ -9,7 +11,8 @@ from timberline.llm.warc import op10_warc
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_packing": op3_packing,
+    "op4_decontamination": op4_decontamination,
     "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
