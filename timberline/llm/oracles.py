@@ -27,6 +27,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i:i + 12] AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)
+), least_id AS (SELECT win, min(doc_id) AS first_id FROM windows GROUP BY win),
+hit AS (SELECT doc_id, i FROM windows JOIN least_id USING (win) WHERE doc_id > first_id),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS places FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(CASE WHEN places IS NULL THEN w ELSE
+    list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(places, j)), lambda j: w[j]) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
 ORACLES = {
     "op4_decontamination": DECONTAMINATION,
+    "op5_substrings": SUBSTRINGS,
 }

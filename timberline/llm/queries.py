@@ -6,12 +6,14 @@ from timberline.llm.decontamination import op4_decontamination
 from timberline.llm.oracles import ORACLES
 from timberline.llm.packing import op3_packing
 from timberline.llm.sharding import op1_sharding
+from timberline.llm.substrings import op5_substrings
 from timberline.llm.warc import op10_warc
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
+    "op5_substrings": op5_substrings,
     "op10_warc": op10_warc,
 }
 

@@ -97,9 +97,12 @@ class Words:
         _, down = self.runs.to(sums.size)
         return mixed((sums[end] - sums[start]) * down[start])
 
-    def windows(self, hashes: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start word, row and hash of each run of ``length`` words inside of a row."""
-        counts = np.maximum(np.diff(first) - length + 1, 0)
-        row = np.repeat(np.arange(counts.size), counts)
-        begin = np.arange(row.size) - np.repeat(np.cumsum(counts) - counts, counts) + first[:-1][row]
-        return begin, row, self.run(self.sums(hashes), begin, begin + length)
+    def windows(self, hashes: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """First words and hashes of all runs of ``length`` words inside of a row."""
+        if hashes.size < length:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        sums = self.sums(hashes)
+        _, down = self.runs.to(hashes.size)
+        row = np.repeat(np.arange(first.size - 1, dtype=np.int32), np.diff(first))
+        begin = np.flatnonzero(row[: hashes.size - length + 1] == row[length - 1 :])
+        return begin, mixed((sums[begin + length] - sums[begin]) * down[begin])
