@@ -24,6 +24,9 @@ SETTINGS = {
 # Folder below the warehouse that takes the place of spark.checkpoint.dir where that is not set.
 SCRATCH_FOLDER = "scratch"
 
+# Deletes the shuffle files of a statement when it is done.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Roots made by this process, by application: one folder for each session.
 _roots: dict[str, str] = {}
 
@@ -106,8 +109,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several jobs need and read it back.
 
     The scan behind it runs once, a lost executor costs no second scan, and later joins are planned with
-    the size of the written files instead of an estimate.
+    the size of the written files instead of an estimate. The shuffle files of the job are deleted at its
+    end, as the table takes their place.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
