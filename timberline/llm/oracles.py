@@ -41,7 +41,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0)
 FROM d LEFT JOIN gone USING (doc_id)
 """
 
+TOP_K = """
+WITH good AS (
+  SELECT vec_id, embedding AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS (SELECT vec_id, list_transform(e, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM good),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""
+
 ORACLES = {
     "op4_decontamination": DECONTAMINATION,
     "op5_substrings": SUBSTRINGS,
+    "op6_topk": TOP_K,
 }

@@ -7,6 +7,7 @@ from timberline.llm.oracles import ORACLES
 from timberline.llm.packing import op3_packing
 from timberline.llm.sharding import op1_sharding
 from timberline.llm.substrings import op5_substrings
+from timberline.llm.topk import op6_topk
 from timberline.llm.warc import op10_warc
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
     "op5_substrings": op5_substrings,
+    "op6_topk": op6_topk,
     "op10_warc": op10_warc,
 }
 
