@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import bisect
 import os
+import sys
 import zlib
 from collections.abc import Iterator
 from itertools import repeat
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -33,8 +35,48 @@ VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Ids and words that a worker keeps; beyond that it starts anew, which costs time only.
-CACHED_IDS = 4 << 20
-CACHED_WORDS = 400_000
+CACHED_IDS = 8 << 20
+CACHED_WORDS = 1_000_000
+# New words that are tokenised as one text.
+GROUP = 256
+
+
+# The start of special tokens; ASCII marks that always begin a token of their own after a letter or
+# digit (all but the apostrophe); letters of Latin-1 in UTF-8, all but two signs, and the offset of their small forms.
+SPECIAL = b"<|"
+MARKS = b"""!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"""
+LATIN, SIGNS = 0xC3, (0x97, 0xB7)
+CAPITALS, SMALL = (0x80, 0x9E), 0x20
+
+_IS_MARK = np.isin(np.arange(256), list(MARKS))
+_IS_WORD = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+_LATIN_LETTER = np.isin(np.arange(256), [x for x in range(0x80, 0xC0) if x not in SIGNS])
+_LATIN_SMALL = np.arange(256, dtype=np.uint8)
+_LATIN_SMALL[[x for x in range(CAPITALS[0], CAPITALS[1] + 1) if x not in SIGNS]] += SMALL
+
+
+def set_apart(data: np.ndarray, at: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Texts in lower case, with a blank before each mark that follows a letter or digit, and their new places.
+
+    This vocabulary folds case, drops white space and ends a token there, so the ids stay the same, while
+    there are fewer different words. Texts that may have special tokens, which are not folded, stay as they are.
+    """
+    raw = data.tobytes()
+    if SPECIAL in raw:
+        return raw, at
+    low = np.frombuffer(raw.lower(), np.uint8).copy()
+    second = np.flatnonzero(low[:-1] == LATIN) + 1
+    low[second] = _LATIN_SMALL[low[second]]
+    letter = _IS_WORD[low]
+    letter[second] = _LATIN_LETTER[low[second]]
+    apart = _IS_MARK[low]
+    apart[1:] &= letter[:-1]
+    apart[:1] = False
+    moved = np.cumsum(apart)
+    out = np.full(low.size + int(moved[-1]) if low.size else 0, 0x20, np.uint8)
+    out[np.arange(low.size) + moved] = low
+    # A blank before the first mark of a text falls to the text before it, which does not mind.
+    return out.tobytes(), at + np.concatenate([[0], moved])[at]
 
 
 class WordIds:
@@ -62,23 +104,32 @@ class WordIds:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, words: list[bytes]) -> None:
-        encoded = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
-        found = [e.ids for e in encoded]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        """Tokenise new words, a few hundred at a time; a token belongs to the word in which it begins."""
+        texts = [word.decode() for word in words]
+        lengths = np.zeros(len(words), np.int64)
+        ids: list[int] = []
+        groups = range(0, len(texts), GROUP)
+        encoded = self.tokenizer.encode_batch([" ".join(texts[i : i + GROUP]) for i in groups], add_special_tokens=False)
+        for i, one in zip(groups, encoded):
+            own = np.fromiter(map(len, texts[i : i + GROUP]), np.int64) + 1
+            begins = np.fromiter((start for start, _ in one.offsets), np.int64)
+            lengths[i : i + GROUP] = np.bincount(np.searchsorted(np.cumsum(own) - 1, begins, side="right"), minlength=own.size)
+            ids += one.ids
         known = len(self.place)
         self.place.update(zip(words, range(known, known + len(words))))
         self.starts = np.concatenate([self.starts, self.ids.size + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))])
+        self.ids = np.concatenate([self.ids, np.array(ids, np.uint32)])
 
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id, and the places between the texts."""
         if self.ids.size > CACHED_IDS or len(self.place) > CACHED_WORDS:
             self._clear()
+        raw, at = set_apart(data, at)
         words: list[bytes] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = text.split()
+        counts = np.zeros(at.size - 1, np.int64)
+        for i, (start, end) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+            own = raw[start:end].split()
             counts[i] = len(own)
             words += own
         at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
@@ -98,6 +149,19 @@ class WordIds:
         return out, places
 
 
+def word_ids(vocabulary: str) -> WordIds:
+    """The worker's own ``WordIds``; a worker that is used again keeps the words it knows.
+
+    Functions come to a worker by value, anew for each task, so what is to stay lies in a module of its own.
+    """
+    kept = sys.modules.setdefault("timberline_worker", ModuleType("timberline_worker"))
+    known = kept.__dict__.setdefault("word_ids", {})
+    if vocabulary not in known:
+        known.clear()
+        known[vocabulary] = WordIds(vocabulary)
+    return known[vocabulary]
+
+
 def tokenised(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents, as in ``PIECES``; ``with_ids`` adds their ids.
 
@@ -108,12 +172,11 @@ def tokenised(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCAB
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(vocabulary)
+        words = word_ids(vocabulary)
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1)
             for first, last, data, at in pieces(texts):
-                raw = data.tobytes()
-                ids, places = words.of([raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
+                ids, places = words.of(data, at)
                 sizes = np.diff(places)
                 cuts = -(-sizes // capacity)
                 doc = np.repeat(np.arange(last - first), cuts)
