@@ -8,6 +8,7 @@ from timberline.llm.packing import op3_packing
 from timberline.llm.sharding import op1_sharding
 from timberline.llm.substrings import op5_substrings
 from timberline.llm.topk import op6_topk
+from timberline.llm.urls import op9_urls
 from timberline.llm.warc import op10_warc
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_substrings": op5_substrings,
     "op6_topk": op6_topk,
+    "op9_urls": op9_urls,
     "op10_warc": op10_warc,
 }
 
