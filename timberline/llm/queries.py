@@ -5,6 +5,7 @@ from __future__ import annotations
 from timberline.llm.decontamination import op4_decontamination
 from timberline.llm.oracles import ORACLES
 from timberline.llm.packing import op3_packing
+from timberline.llm.pii import op7_pii
 from timberline.llm.sharding import op1_sharding
 from timberline.llm.substrings import op5_substrings
 from timberline.llm.topk import op6_topk
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_substrings": op5_substrings,
     "op6_topk": op6_topk,
+    "op7_pii": op7_pii,
     "op9_urls": op9_urls,
     "op10_warc": op10_warc,
 }
