@@ -9,6 +9,7 @@ from timberline.llm.pii import op7_pii
 from timberline.llm.sharding import op1_sharding
 from timberline.llm.substrings import op5_substrings
 from timberline.llm.topk import op6_topk
+from timberline.llm.toxicity import op8_toxicity
 from timberline.llm.urls import op9_urls
 from timberline.llm.warc import op10_warc
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_substrings": op5_substrings,
     "op6_topk": op6_topk,
     "op7_pii": op7_pii,
+    "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_warc": op10_warc,
 }
