@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from timberline.llm.decontamination import op4_decontamination
+from timberline.llm.neardup import op2_neardup
 from timberline.llm.oracles import ORACLES
 from timberline.llm.packing import op3_packing
 from timberline.llm.pii import op7_pii
@@ -15,6 +16,7 @@ from timberline.llm.warc import op10_warc
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_neardup": op2_neardup,
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
     "op5_substrings": op5_substrings,
