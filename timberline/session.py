@@ -112,8 +112,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     the size of the written files instead of an estimate. The shuffle files of the job are deleted at its
     end, as the table takes their place.
     """
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = scratch_path(spark, name)
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
@@ -121,3 +124,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """A folder for tables that are needed until a result is written: ``with Workspace(spark, name) as kept``.
+
+    ``kept(df, name)`` writes a table there, as ``materialize`` does, and reads it back; the folder is deleted at
+    the end, also after an error.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.number = spark, scratch_path(spark, name), 0
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_) -> None:
+        delete_path(self.spark, self.folder)
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        self.number += 1
+        return _written(df, f"{self.folder}/{self.number}-{name}")
