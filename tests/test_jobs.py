@@ -121,3 +121,26 @@ def test_daily_trips(spark, tmp_path):
         ("2021", "1", "2", "2", "1.0", "0.5", "20.0", "0.0", "1"),
     ]
     assert csv(spark, out + "/daily_totals") == [("2", "2021-01-01", "2021-01-02", "3", "1.5")]
+
+
+def test_jobs_can_be_run_again(spark, log_dir, tmp_path):
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        jobs.log_levels(spark, log_dir, out)
+        jobs.cluster_usage(spark, log_dir, out)
+        jobs.chart_tables(spark, out, out + "/again")
+    assert len(csv(spark, out + "/level_counts")) == 4
+    assert len(csv(spark, out + "/timeline")) == 4
+
+
+def test_a_job_that_may_not_replace_stops_before_it_reads(spark, tmp_path):
+    out = str(tmp_path / "out")
+    spark.range(1).write.csv(out + "/level_sample")
+    with pytest.raises(FileExistsError):
+        jobs.log_levels(spark, str(tmp_path / "no such input"), out, mode="error")
+
+
+def test_words_and_headers_through_the_job(spark, log_dir, tmp_path):
+    out = str(tmp_path / "out")
+    jobs.log_levels(spark, log_dir, out, words=("INFO", "start"), header_only=True)
+    assert csv(spark, out + "/level_counts") == [("INFO", "4"), ("start", "0")]

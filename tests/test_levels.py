@@ -103,3 +103,35 @@ def test_occurrences_count_each_word(lines):
     assert got == {"INFO": 2, "WARN": 1}
     assert rows(levels.occurrences(lines("é INFOINFO ü").limit(1))) == [("INFO", 2)]
     assert rows(levels.occurrences(lines("INFO").limit(0))) == []
+
+
+def test_sample_by_text_is_the_same_from_any_layout(spark):
+    df = spark.createDataFrame([(f"f{i % 3}", f"INFO text {i % 40}") for i in range(300)], "file_path string, value string")
+    draws = [rows(levels.sample_by_text(df.repartition(n), 12)) for n in (1, 8)]
+    assert draws[0] == draws[1] and len(draws[0]) == 12
+    assert rows(levels.sample_by_text(df, 12, seed=1)) != draws[0]
+
+
+def test_each_copy_of_a_line_has_its_own_chance(spark):
+    """Fifty equal and fifty different lines: a fair draw of ten takes five of each on average."""
+    df = spark.createDataFrame([("f", "INFO same" if i < 50 else f"INFO other {i}") for i in range(100)], "file_path string, value string").cache()
+    equal = [sum(row.log_entry == "INFO same" for row in levels.sample_by_text(df, 10, seed=seed).collect()) for seed in range(40)]
+    df.unpersist()
+    assert 4.2 < sum(equal) / len(equal) < 5.8
+    # All or nothing would be far from this.
+    assert sum(2 <= n <= 8 for n in equal) >= 36
+
+
+def test_lines_without_a_level_are_not_drawn(lines):
+    assert levels.sample_by_text(lines("no level", "INFO x"), 5).collect()[0].log_entry == "INFO x"
+    assert levels.sample_by_text(lines("no level"), 5).collect() == []
+
+
+def test_header_only_everywhere(lines):
+    table = lines("17/03/29 10:00:00 INFO a: says ERROR", "says ERROR", "17/03/29 10:00:00 WARN a: b")
+    assert levels.totals(table, header_only=True).first().lines_with_level == 2
+    assert {row.log_level for row in levels.distinct_levels(table, header_only=True).collect()} == {"INFO", "WARN"}
+    assert {row.log_level: row.percent for row in levels.share(table, header_only=True).collect()}["INFO"] == 50.0
+    assert levels.report(table, header_only=True).collect()[1].line.endswith("2")
+    assert len(levels.sample(table, header_only=True).collect()) == 2
+    assert {row.log_level: row["count"] for row in levels.occurrences(table, ("says", "WARN")).collect()} == {"says": 2, "WARN": 1}

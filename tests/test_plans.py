@@ -4,12 +4,21 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry_points
 from timberline import sources
 from timberline.operators import daily, levels, messages, usage
-from timberline.plans import standins
+from timberline.plans import catalog, standins
 
-WRITERS = {"month_scan", "year_scan", "app_file_bytes", "app_size_stats", "text_scan_levels", "text_scan_timeline"}
+ONE_SCAN = [
+    "apps_missing",
+    "app_timeline_padded",
+    "app_timeline_text",
+    "cluster_summary",
+    "cluster_largest",
+    "app_durations",
+    "duration_histogram",
+    "duration_ticks",
+    "duration_density",
+]
 
 
 def physical(df) -> str:
@@ -20,9 +29,9 @@ def exchanges(plan: str) -> int:
     return plan.count(" Exchange ")
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cross_joins_and_no_python(spark, small_dir, name):
-    plan = physical(entry_points.queries()[name](spark, small_dir))
+    plan = physical(catalog.QUERIES[name](spark, small_dir))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "MapInArrow", "ExistingRDD"):
         assert node not in plan, (name, node)
 
@@ -82,6 +91,39 @@ def test_trips_are_pruned_and_filtered_in_the_scan(spark, small_dir):
     assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in count
 
 
-def test_partition_filters(spark, small_dir):
-    plan = physical(entry_points.queries()["year_scan"](spark, small_dir))
-    assert "PartitionFilters: [isnotnull(yyyy" in plan
+def test_only_the_folder_of_the_year_is_listed(spark, small_dir):
+    files = catalog.QUERIES["year_scan"](spark, small_dir).inputFiles()
+    assert files and all("/yyyy=1997/" in path for path in files)
+
+
+def nodes(plan):
+    """All nodes of a plan that has run, with those of its subqueries, each exchange that is used again once only."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return nodes(plan.executedPlan())
+    if name == "ReusedExchange" or name == "ReusedSubquery":
+        return []
+    if "QueryStage" in name:
+        return nodes(plan.plan())
+    found = [plan]
+    for group in (plan.children(), plan.subqueries()):
+        for i in range(group.size()):
+            found += nodes(group.apply(i))
+    return found
+
+
+@pytest.mark.parametrize("name", ONE_SCAN)
+def test_lines_are_scanned_once(spark, small_dir, name):
+    df = catalog.QUERIES[name](spark, small_dir)
+    df.collect()
+    scans = [node for node in nodes(df._jdf.queryExecution().executedPlan()) if node.nodeName().startswith("Scan parquet")]
+    assert len(scans) == 1
+
+
+def test_days_of_a_year_are_hashed_in_the_scan(spark, sf_dir):
+    df = daily.daily_summary(standins.trips(spark, sf_dir).coalesce(1), 1997)
+    assert len(df.collect()) == 365
+    found = [node for node in nodes(df._jdf.queryExecution().executedPlan()) if node.nodeName().startswith("ObjectHashAggregate")]
+    fallen_back = [node.metrics().apply("numTasksFallBacked").value() for node in found]
+    # The last one in the plan is the one above the scan.
+    assert found and fallen_back[-1] == 0

@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.compare import assert_same, connect
+from timberline.operators import levels
+from timberline.plans import catalog, oracles, standins
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, oracles.ORACLES
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
 
 
@@ -25,13 +26,14 @@ def test_query_equals_sql(spark, sf_dir, con, name):
     assert {column: TYPES[kind] for column, kind in df.dtypes} == sql_types
 
 
-def test_only_the_random_draw_has_no_sql():
-    assert set(QUERIES) - set(ORACLES) == {"log_sample_rand"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
 
 
 def test_random_draw(spark, sf_dir):
-    rows = QUERIES["log_sample_rand"](spark, sf_dir).collect()
+    rows = levels.sample(standins.logs(spark, sf_dir)).collect()
     assert len(rows) == 10
     assert all(row.log_level in row.log_entry for row in rows)
     assert {row.log_level for row in rows} <= {"INFO", "WARN", "ERROR", "DEBUG"}

@@ -68,8 +68,6 @@ def test_month_paths():
         "s3a://b/trips/yyyy=2021/yellow_tripdata_2021-01.parquet",
         "s3a://b/trips/yyyy=2021/yellow_tripdata_2021-12.parquet",
     ]
-    assert sources.plain_uri("s3a://b/trips/") == "s3://b/trips"
-    assert sources.plain_uri("/data/trips/") == "/data/trips"
 
 
 def test_trip_files(spark, tmp_path):
@@ -80,8 +78,7 @@ def test_trip_files(spark, tmp_path):
     assert sources.read_trips(spark, sources.month_paths(root, 2021, [1, 2])).count() == 30
     below = sources.read_trips_below(spark, root, 2021)
     assert "yyyy" in below.columns and below.count() == 30
-    plan = below._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(yyyy" in plan
+    assert all("/yyyy=2021/" in path for path in below.inputFiles())
     listed = sources.read_trips(spark, sources.month_paths(root, 2022, [1]), base_path=root)
     assert listed.select("yyyy").distinct().collect()[0].yyyy == 2022
 

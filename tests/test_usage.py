@@ -135,7 +135,21 @@ def test_catalog_leaves_other_folders_out(spark):
             ("file:/d/README",),
             ("file:/d/application_1_0003_old/a.log",),
             ("file:/d/application_1_0004.log",),
+            ("file:/d/old_application_1_0005/a.log",),
+            ("file:/d/application_1_0006.bak/a.log",),
+            ("file:/d/application_9_9/x/application_1_0002/b.log",),
+            ("file:/d/app=application_1_0007/b.log",),
         ],
         "file_path string",
     )
-    assert rows(sources.app_catalog(files)) == [("1", "application_1_0002", "0002")]
+    assert rows(sources.app_catalog(files)) == [("1", "application_1_0002", "0002"), ("1", "application_1_0007", "0007")]
+
+
+def test_overview_is_catalog_and_timeline(log, catalog):
+    seen = usage.overview(log)
+    owned = sources.app_catalog(sources.files_of(log))
+    times = usage.timeline(log)
+    assert rows(usage.padded_of(seen)) == rows(usage.pad(owned, times))
+    assert rows(usage.missing_of(seen)) == rows(usage.missing(owned, times))
+    assert rows(usage.summary_of(seen)) == rows(usage.cluster_summary(owned, times))
+    assert rows(usage.largest_of(seen)) == rows(usage.largest(usage.cluster_counts(owned), times))

@@ -71,6 +71,14 @@ def app_id(c: Column | str) -> Column:
     return _text(F.regexp_extract(_col(c), APPLICATION_ID, 0))
 
 
+def owner(path: Column | str = "file_path") -> Column:
+    """Application whose folder a file lies in: the last folder on the path with such a name, or ``name=`` and it.
+
+    The id has to be the whole name, so ``old_application_1_2`` owns nothing, nor does a folder further up.
+    """
+    return _text(F.regexp_extract(_col(path), rf"^(?:.*/)?(?:\w+=)?({APPLICATION_ID})/", 1))
+
+
 def cluster_id(c: Column | str) -> Column:
     """Cluster part of the first application id."""
     return _text(F.regexp_extract(_col(c), APPLICATION_PARTS, 1))

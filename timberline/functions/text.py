@@ -6,7 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Line formats of the reports.
+# Lines and headings of the reports.
+LEVEL_HEADS = (
+    "Total log lines processed: ",
+    "Total lines with log levels: ",
+    "Unique log levels found: ",
+    "Log level distribution:",
+)
+CLUSTER_HEADS = (
+    "Total unique clusters: ",
+    "Total applications: ",
+    "Average applications per cluster: ",
+    "Most heavily used clusters:",
+)
 LEVEL_LINE = "  %-5s: %,12d (%6.2f%%)"
 CLUSTER_LINE = "  Cluster %s: %d applications"
 

@@ -27,7 +27,10 @@ MERGE_GROUPS = 64
 
 
 def in_year(trips: DataFrame, year: int, columns: TripColumns = TLC) -> DataFrame:
-    """Trips of one year, as a range on the time column, which the Parquet scan can use to skip data."""
+    """Trips of one year, as a range on the time column, which the Parquet scan can use to skip data.
+
+    A time with a zone is compared, and its day taken, in the session's zone; ``session`` sets UTC.
+    """
     start, end = (F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz") for y in (year, year + 1))
     pickup = F.col(columns.pickup)
     return trips.filter((pickup >= start) & (pickup < end))
@@ -44,13 +47,31 @@ def daily_summary(
     accuracy: int = 10000,
     merge_groups: int = MERGE_GROUPS,
 ) -> DataFrame:
-    """One row per day of ``year``, latest first.
+    """One row per day of ``year``, latest first; see ``daily_rows``."""
+    return by_day(daily_rows(trips, year, columns, accuracy, merge_groups))
+
+
+def daily_rows(
+    trips: DataFrame,
+    year: int,
+    columns: TripColumns = TLC,
+    accuracy: int = 10000,
+    merge_groups: int = MERGE_GROUPS,
+) -> DataFrame:
+    """One row per day of ``year``, in no order.
 
     Trips are grouped by one date value; year, month and day are taken from it once per day.
 
     Each scan task has one sketch of the fares per day. So that no single task has to merge all sketches of
     a day with very many trips, the scan tasks fall into ``merge_groups``: counting these groups as distinct
-    values makes Spark merge by day and group first, and by day alone after that.
+    values makes Spark merge by day and group first, and by day alone after that. A first merge takes as many
+    sketches as there are tasks in a group: give the square root of the number of scan tasks, 64 being right for
+    about 4,000.
+
+    A scan task holds a sketch for each of the 366 days at most. A sketch keeps up to about ``50 * accuracy``
+    values before it is compressed, which is some hundred KB at 10,000, so allow for a few hundred MB in a task that
+    reads trips of all days, or lower ``accuracy``. ``session.SETTINGS`` raises the number of groups up to which
+    Spark hashes them to just above that; a session without it sorts the rest of each task's trips.
     """
     return (
         in_year(trips, year, columns)
@@ -78,7 +99,6 @@ def daily_summary(
             "min_tip_amount",
             "mean_passenger_count",
         )
-        .orderBy(*_latest_first())
     )
 
 

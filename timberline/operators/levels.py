@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from timberline.functions import parse
-from timberline.functions.text import LEVEL_LINE, count_text
+from timberline.functions.text import LEVEL_HEADS, LEVEL_LINE, count_text
 from timberline.functions.parse import LEVELS
 
 
@@ -62,9 +62,9 @@ def share_of(grouped: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
     return counts_of(grouped, words).withColumn("percent", percent)
 
 
-def share(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
+def share(lines: DataFrame, words: Sequence[str] = LEVELS, header_only: bool = False) -> DataFrame:
     """``log_level, count, percent`` where percent is taken of the lines that have a level."""
-    return in_order(share_of(groups(lines, words), words))
+    return in_order(share_of(groups(lines, words, header_only), words))
 
 
 def _total_columns() -> list[Column]:
@@ -80,14 +80,14 @@ def totals_of(grouped: DataFrame) -> DataFrame:
     return grouped.agg(*_total_columns())
 
 
-def totals(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
+def totals(lines: DataFrame, words: Sequence[str] = LEVELS, header_only: bool = False) -> DataFrame:
     """One row: ``total_lines, lines_with_level, distinct_levels``."""
-    return totals_of(groups(lines, words))
+    return totals_of(groups(lines, words, header_only))
 
 
-def distinct_levels(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
+def distinct_levels(lines: DataFrame, words: Sequence[str] = LEVELS, header_only: bool = False) -> DataFrame:
     """The levels which occur."""
-    return groups(lines, words).filter(_named("log_level", "count")).select("log_level")
+    return groups(lines, words, header_only).filter(_named("log_level", "count")).select("log_level")
 
 
 def report_of(grouped: DataFrame, words: Sequence[str] = LEVELS, heading: str | None = None) -> DataFrame:
@@ -106,18 +106,20 @@ def report_of(grouped: DataFrame, words: Sequence[str] = LEVELS, heading: str |
 
     lines = [
         *([F.lit(heading)] if heading is not None else []),
-        F.concat(F.lit("Total log lines processed: "), count_text("total_lines")),
-        F.concat(F.lit("Total lines with log levels: "), count_text("lines_with_level")),
-        F.concat(F.lit("Unique log levels found: "), F.col("distinct_levels").cast("string")),
+        F.concat(F.lit(LEVEL_HEADS[0]), count_text("total_lines")),
+        F.concat(F.lit(LEVEL_HEADS[1]), count_text("lines_with_level")),
+        F.concat(F.lit(LEVEL_HEADS[2]), F.col("distinct_levels").cast("string")),
         F.lit(""),
-        F.lit("Log level distribution:"),
+        F.lit(LEVEL_HEADS[3]),
         *[level_line(word) for word in words],
     ]
     return one.select(F.posexplode(F.array(*lines)).alias("ord", "line"))
 
 
-def report(lines: DataFrame, words: Sequence[str] = LEVELS, heading: str | None = None) -> DataFrame:
-    return report_of(groups(lines, words), words, heading)
+def report(
+    lines: DataFrame, words: Sequence[str] = LEVELS, heading: str | None = None, header_only: bool = False
+) -> DataFrame:
+    return report_of(groups(lines, words, header_only), words, heading)
 
 
 def sample(
@@ -126,6 +128,7 @@ def sample(
     seed: int = 42,
     key: Column | str | None = None,
     words: Sequence[str] = LEVELS,
+    header_only: bool = False,
 ) -> DataFrame:
     """``log_entry, log_level`` of n lines that have a level.
 
@@ -135,7 +138,7 @@ def sample(
     Lines without a level are put last and dropped from the n rows; to filter them first would run the
     pattern twice per line.
     """
-    found = lines.withColumn("log_level", parse.level("value", words))
+    found = lines.withColumn("log_level", parse.level("value", words, header_only=header_only))
     if key is None:
         order = [F.rand(seed)]
     else:
@@ -146,10 +149,51 @@ def sample(
     return drawn.select(F.col("value").alias("log_entry"), "log_level")
 
 
-def occurrences(lines: DataFrame) -> DataFrame:
+# Equal texts of a file are numbered in a task; a file's texts are dealt out to this many (two hexadecimal digits).
+TEXT_GROUP_DIGITS = 2
+# Numbers that one row is spread into at once.
+NUMBERS_PER_ROW = 100_000
+
+
+def sample_by_text(
+    lines: DataFrame, n: int = 10, seed: int = 42, words: Sequence[str] = LEVELS, header_only: bool = False
+) -> DataFrame:
+    """``log_entry, log_level`` of n lines that have a level; the same ones from any layout, without a key column.
+
+    Lines are told apart by their place among the lines of their file and of a group of texts, in the order of the
+    texts. The first pass only counts these groups; places are drawn by arithmetic on the counts. The second pass reads
+    the lines again and puts in order those of the n groups drawn at most. Equal lines have neighbouring places, so
+    each copy has a chance of its own. No text of another group is shuffled.
+    """
+    group = F.substring(F.md5("value"), 1, TEXT_GROUP_DIGITS).alias("text_group")
+    level = parse.level("value", words, header_only=header_only).alias("log_level")
+    found = lines.select("file_path", group, "value", level)
+    counted = found.groupBy("file_path", "text_group").agg(F.count_if(F.col("log_level") != "").alias("n"))
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(NUMBERS_PER_ROW).cast("bigint")))
+    last = F.least(F.col("first") + NUMBERS_PER_ROW, F.col("n")) - 1
+    numbered = (
+        counted.filter("n > 0")
+        .withColumn("first", first)
+        .select("file_path", "text_group", F.explode(F.sequence("first", last)).alias("number"))
+    )
+    key = F.concat_ws(":", F.lit(str(seed)), "file_path", "text_group", F.col("number").cast("string"))
+    drawn = numbered.orderBy(F.md5(key), "file_path", "text_group", "number").limit(n)
+    # n rows at most.
+    drawn = F.broadcast(drawn)
+    groups_drawn = F.broadcast(drawn.select("file_path", "text_group").distinct())
+    place = F.row_number().over(Window.partitionBy("file_path", "text_group").orderBy("value")) - 1
+    own = found.join(groups_drawn, ["file_path", "text_group"], "left_semi").filter(F.col("log_level") != "")
+    return (
+        own.withColumn("number", place.cast("bigint"))
+        .join(drawn, ["file_path", "text_group", "number"])
+        .select(F.col("value").alias("log_entry"), "log_level")
+    )
+
+
+def occurrences(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
     """``log_level, count`` over every level word of every line, word boundaries not asked for.
 
-    The words cannot overlap, so a word's count is the length lost when it is cut out of the line, divided
+    No word may lie in or overlap another, as holds for the level words, so a word's count is the length lost when it is cut out of the line, divided
     by its own. This equals counting ``parse.level_words`` and needs neither a pattern nor a row per word.
     """
 
@@ -157,5 +201,5 @@ def occurrences(lines: DataFrame) -> DataFrame:
         rest = F.replace(F.col("value"), F.lit(word), F.lit(""))
         return F.sum(F.octet_length("value") - F.octet_length(rest)) / F.lit(len(word))
 
-    one = lines.agg(*[found(word).cast("bigint").alias(word) for word in LEVELS])
-    return one.unpivot([], list(LEVELS), "log_level", "count").filter("count > 0")
+    one = lines.agg(*[found(word).cast("bigint").alias(word) for word in words])
+    return one.unpivot([], list(words), "log_level", "count").filter("count > 0")

@@ -28,7 +28,7 @@ UNIT_STEP = 1024
 
 
 def _owner() -> Column:
-    return parse.app_id("file_path").alias("application_id")
+    return parse.owner("file_path").alias("application_id")
 
 
 def _holding(lines: DataFrame, text: str, pattern: str) -> DataFrame:
@@ -241,7 +241,7 @@ def containers(files: DataFrame) -> DataFrame:
 def file_counts(files: DataFrame) -> DataFrame:
     """One row: ``applications, files``, over a table with one row per file."""
     return files.agg(
-        F.count_distinct(F.nullif(parse.app_id("file_path"), F.lit(""))).alias("applications"),
+        F.count_distinct(F.nullif(parse.owner("file_path"), F.lit(""))).alias("applications"),
         F.count("*").alias("files"),
     )
 

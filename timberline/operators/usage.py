@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from timberline.functions import parse
-from timberline.functions.text import CLUSTER_LINE, count_text, times_as_text
+from timberline.functions.text import CLUSTER_HEADS, CLUSTER_LINE, times_as_text
 
 TIMELINE = ["cluster_id", "application_id", "app_number", "start_time", "end_time"]
 
@@ -36,7 +36,7 @@ def timeline(lines: DataFrame, by: str = "line") -> DataFrame:
             lines.select("file_path", parse.ts("value").alias("time"))
             .groupBy("file_path")
             .agg(F.min("time").alias("first"), F.max("time").alias("last"))
-            .select(parse.app_id("file_path").alias("application_id"), "first", "last")
+            .select(parse.owner("file_path").alias("application_id"), "first", "last")
             .filter(F.col("application_id") != "")
             .groupBy("application_id")
             .agg(F.min("first").alias("start_time"), F.max("last").alias("end_time"))
@@ -46,13 +46,85 @@ def timeline(lines: DataFrame, by: str = "line") -> DataFrame:
     return _with_ids(times)
 
 
-def _with_ids(times: DataFrame) -> DataFrame:
+def _with_ids(times: DataFrame, *further: str) -> DataFrame:
     return times.select(
         parse.cluster_id("application_id").alias("cluster_id"),
         "application_id",
         parse.app_number("application_id").alias("app_number"),
         "start_time",
         "end_time",
+        *further,
+    )
+
+
+def overview(lines: DataFrame) -> DataFrame:
+    """Catalog and timeline of the same lines in one table, from one scan: a row per application.
+
+    ``cluster_id, application_id, app_number, start_time, end_time, owned, named``: whether the application owns a
+    file of the lines, and whether a line names it; the times are those of the lines that name it. Lines are reduced
+    to one row per file and named application first, so ids are parsed from few rows after that.
+    """
+    line = F.col("value")
+    named = F.when(line.contains("application_"), parse.app_id("value")).otherwise(F.lit(""))
+    time = F.when(line.contains("application_"), parse.ts("value"))
+    by_file = (
+        lines.select("file_path", named.alias("says"), time.alias("time"))
+        .groupBy("file_path", "says")
+        .agg(F.min("time").alias("first"), F.max("time").alias("last"))
+    )
+    none, yes, no = F.lit(None).cast("timestamp_ntz"), F.lit(True), F.lit(False)
+
+    def row(application, first, last, owned, says):
+        values = (application, first, last, owned, says)
+        return F.struct(*[v.alias(n) for v, n in zip(values, ("application_id", "first", "last", "owned", "named"))])
+
+    both = F.array(
+        row(parse.owner("file_path"), none, none, yes, no),
+        row(F.col("says"), F.when(F.col("says") != "", F.col("first")), F.when(F.col("says") != "", F.col("last")), no, yes),
+    )
+    found = (
+        by_file.select(F.explode(both).alias("x"))
+        .groupBy("x.application_id")
+        .agg(
+            F.min("x.first").alias("start_time"),
+            F.max("x.last").alias("end_time"),
+            F.bool_or("x.owned").alias("owned"),
+            F.bool_or("x.named").alias("named"),
+        )
+    )
+    return _with_ids(found.filter(F.col("application_id") != ""), "owned", "named")
+
+
+def padded_of(seen: DataFrame) -> DataFrame:
+    """The padded timeline of an ``overview``."""
+    return seen.select(*TIMELINE)
+
+
+def missing_of(seen: DataFrame) -> DataFrame:
+    """Applications of an ``overview`` that own files and that no line names."""
+    return seen.filter(F.col("owned") & ~F.col("named")).select(*TIMELINE)
+
+
+def summary_of(seen: DataFrame) -> DataFrame:
+    """``cluster_summary`` of an ``overview``, with one grouping by cluster."""
+    return (
+        seen.groupBy("cluster_id")
+        .agg(
+            F.count_if("owned").alias("num_applications"),
+            F.min("start_time").alias("cluster_first_app"),
+            F.max("end_time").alias("cluster_last_app"),
+        )
+        .filter("num_applications > 0")
+    )
+
+
+def largest_of(seen: DataFrame) -> DataFrame:
+    """``largest`` of an ``overview``, with one grouping by cluster."""
+    return (
+        seen.groupBy("cluster_id")
+        .agg(F.count_if("owned").alias("num_applications"), F.count("start_time").alias("timed"))
+        .orderBy(F.desc("timed"), F.desc("num_applications"), "cluster_id")
+        .limit(1)
     )
 
 
@@ -119,11 +191,11 @@ def report(counts: DataFrame, n: int = 5, heading: str | None = None) -> DataFra
     """``ord, line``: the text report over ``cluster_counts``. ``heading`` is a first line of the caller's."""
     lines = [
         *([F.lit(heading)] if heading is not None else []),
-        F.concat(F.lit("Total unique clusters: "), F.col("clusters").cast("string")),
-        F.concat(F.lit("Total applications: "), F.col("applications").cast("string")),
-        F.concat(F.lit("Average applications per cluster: "), F.format_string("%.2f", "avg_applications")),
+        F.concat(F.lit(CLUSTER_HEADS[0]), F.col("clusters").cast("string")),
+        F.concat(F.lit(CLUSTER_HEADS[1]), F.col("applications").cast("string")),
+        F.concat(F.lit(CLUSTER_HEADS[2]), F.format_string("%.2f", "avg_applications")),
         F.lit(""),
-        F.lit("Most heavily used clusters:"),
+        F.lit(CLUSTER_HEADS[3]),
     ]
     head = stats(counts).select(F.posexplode(F.array(*lines)).alias("ord", "line"))
     # The window numbers the n rows that the limit leaves.

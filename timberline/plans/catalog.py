@@ -11,7 +11,7 @@ from timberline import sinks, sources
 from timberline.functions import parse
 from timberline.operators import basics, daily, durations, levels, messages, usage
 from timberline.plans import standins
-from timberline.session import materialize, scratch_path
+from timberline.session import scratch_path
 
 YEAR = 1997
 DIGITS = 6
@@ -46,13 +46,30 @@ def counts_of(lines: DataFrame) -> DataFrame:
 
 
 def padded(lines: DataFrame) -> DataFrame:
-    return usage.pad(catalog_of(lines), usage.timeline(lines))
+    return usage.padded_of(usage.overview(lines))
 
 
 def largest_durations(lines: DataFrame) -> DataFrame:
-    # The lines are read once; what follows reads the small written timeline more than once.
-    times = materialize(padded(lines), "timeline")
-    return durations.durations(times, usage.largest(usage.cluster_counts(times), times))
+    # Both sides come from the same grouping, whose exchange is used again: the lines are read once.
+    seen = usage.overview(lines)
+    return durations.durations(usage.padded_of(seen), usage.largest_of(seen))
+
+
+def drawn_at_random(lines: DataFrame) -> DataFrame:
+    """Facts about a random draw that can be compared: its rows, those with a level, those that the lines hold."""
+    drawn = levels.sample(lines)
+    held = lines.select(F.col("value").alias("log_entry")).distinct().withColumn("held", F.lit(True))
+    return drawn.join(held, "log_entry", "left").agg(
+        F.count("*").alias("drawn"),
+        F.count_if(F.expr("contains(log_entry, log_level) AND log_level <> ''")).alias("with_level"),
+        F.count("held").alias("found"),
+    )
+
+
+def with_repeats(lines: DataFrame) -> DataFrame:
+    """Lines of few different texts in each file."""
+    word = F.coalesce(F.nullif(parse.level("value"), F.lit("")), F.lit("none"))
+    return lines.select("file_path", F.concat(F.lit("line of "), word).alias("value"))
 
 
 def text_scan_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,13 +115,12 @@ def year_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_month(sources.read_trips_below(spark, standins.trip_folder(spark, sf_dir), YEAR))
 
 
-def range_even_double(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated ids as there are events."""
-    return basics.even_doubled(sources.generated_range(spark, standins.table(spark, sf_dir, "events").count()))
+def even_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return basics.even_doubled(standins.table(spark, sf_dir, "events"), "event_id")
 
 
 def sql_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.count_sql(standins.table(spark, sf_dir, "orders"), "orders_counted")
+    return sources.count_sql(standins.table(spark, sf_dir, "orders"))
 
 
 def results_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +137,9 @@ QUERIES: dict[str, Query] = {
     "distinct_levels": on_logs(levels.distinct_levels),
     "log_level_report": on_logs(levels.report),
     "log_sample": on_logs(lambda lines: levels.sample(lines, key="event_id")),
-    "log_sample_rand": on_logs(levels.sample),
+    "log_sample_rand": on_logs(drawn_at_random),
+    "log_sample_by_text": on_logs(lambda lines: levels.sample_by_text(with_repeats(lines))),
+    "log_header_levels": on_logs(lambda lines: levels.counts(lines, header_only=True)),
     "log_header": on_logs(parse.with_header),
     "log_level_groups": on_logs(levels.groups),
     "level_occurrences": on_logs(levels.occurrences),
@@ -138,15 +156,15 @@ QUERIES: dict[str, Query] = {
     # use of clusters
     "app_timeline": on_logs(usage.timeline),
     "app_timeline_by_path": on_logs(lambda lines: usage.timeline(lines, by="path")),
-    "apps_missing": on_logs(lambda lines: usage.missing(catalog_of(lines), usage.timeline(lines))),
+    "apps_missing": on_logs(lambda lines: usage.missing_of(usage.overview(lines))),
     "app_timeline_padded": on_logs(padded),
     "app_timeline_text": on_logs(lambda lines: usage.as_text(padded(lines))),
     "cluster_counts": on_logs(counts_of),
-    "cluster_summary": on_logs(lambda lines: usage.cluster_summary(catalog_of(lines), usage.timeline(lines))),
+    "cluster_summary": on_logs(lambda lines: usage.summary_of(usage.overview(lines))),
     "cluster_stats": on_logs(lambda lines: usage.stats(counts_of(lines))),
     "cluster_report": on_logs(lambda lines: usage.report(counts_of(lines))),
     "cluster_top5": on_logs(lambda lines: usage.top(counts_of(lines))),
-    "cluster_largest": on_logs(lambda lines: usage.largest(counts_of(lines), usage.timeline(lines))),
+    "cluster_largest": on_logs(lambda lines: usage.largest_of(usage.overview(lines))),
     # durations
     "app_durations": on_logs(largest_durations),
     "duration_histogram": on_logs(lambda lines: durations.histogram(largest_durations(lines))),
@@ -167,6 +185,7 @@ QUERIES: dict[str, Query] = {
     "python_times_first20": on_logs(lambda lines: messages.first_python_times(messages.python_times(lines))),
     "stored_blocks": on_logs(messages.stored_blocks),
     "memory_blocks": on_logs(messages.memory_blocks),
+    "memory_capacity": on_logs(messages.memory_capacity),
     "input_splits": on_logs(messages.input_splits),
     "broadcast_reads": on_logs(messages.broadcast_reads),
     # trips
@@ -178,7 +197,7 @@ QUERIES: dict[str, Query] = {
     "month_scan": month_scan,
     "year_scan": year_scan,
     # session and results
-    "range_even_double": range_even_double,
+    "even_doubled": even_doubled,
     "sql_count": sql_count,
     "results_reload": results_reload,
 }

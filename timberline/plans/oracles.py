@@ -50,7 +50,7 @@ TIMES = """, py AS (SELECT application_id, container_id, event_id AS total, user
 BLOCKS = """, sb AS (SELECT application_id, concat('broadcast_', CAST(event_id AS VARCHAR)) AS block, 'broadcast' AS kind,
        CAST((1.5 + event_id % 900) * CASE WHEN event_id % 4 = 0 THEN 1048576 ELSE 1024 END AS BIGINT) AS size_bytes,
        CAST(round(1155.2 * 1024) AS BIGINT) AS free_bytes
-       FROM l WHERE event_type = 'purchase' AND event_id % 3 <> 0)"""
+       FROM l WHERE event_type = 'purchase' AND event_id % 3 <> 0 AND event_id % 13 <> 5)"""
 
 BYTES = """, ab AS (SELECT application_id, count(DISTINCT container_id) AS containers,
        CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes FROM l GROUP BY 1)"""
@@ -105,6 +105,15 @@ ORACLES: dict[str, str] = {
     "log_level_report": LOGS + GROUPED + " " + LEVEL_REPORT,
     "log_sample": LOGS + """ SELECT value AS log_entry, lvl AS log_level FROM l WHERE lvl IS NOT NULL
         ORDER BY md5('42:' || CAST(event_id AS VARCHAR)), event_id LIMIT 10""",
+    "log_sample_rand": LOGS + """ SELECT least(count(lvl), 10) AS drawn, least(count(lvl), 10) AS with_level,
+        least(count(lvl), 10) AS found FROM l""",
+    "log_sample_by_text": LOGS + """, r AS (SELECT file_path, coalesce(lvl, 'none') AS word, lvl FROM l),
+        t AS (SELECT file_path, concat('line of ', word) AS value, lvl FROM r WHERE lvl IS NOT NULL),
+        k AS (SELECT *, substr(md5(value), 1, 2) AS grp,
+              row_number() OVER (PARTITION BY file_path, substr(md5(value), 1, 2) ORDER BY value) - 1 AS number FROM t)
+        SELECT value AS log_entry, lvl AS log_level FROM k
+        ORDER BY md5(concat('42:', file_path, ':', grp, ':', CAST(number AS VARCHAR))), file_path, grp, number LIMIT 10""",
+    "log_header_levels": LOGS + GROUPED + ' SELECT log_level, n AS "count" FROM c',
     "log_header": LOGS + """ SELECT file_path, CASE WHEN event_type = 'view' THEN '' ELSE ts_text END AS ts_text,
         coalesce(lvl, '') AS level, coalesce(comp, '') AS component, value AS message FROM l""",
     "log_level_groups": LOGS + """ SELECT coalesce(lvl, '') AS log_level, count(*) AS "count" FROM l GROUP BY 1""",
@@ -160,7 +169,7 @@ ORACLES: dict[str, str] = {
     "error_lines": LOGS + " SELECT file_path, value FROM l WHERE lvl = 'ERROR'",
     "error_counts": LOGS + """ SELECT cluster_id, count(*) AS "count" FROM l WHERE lvl = 'ERROR' GROUP BY 1""",
     "resource_requests": LOGS + """ SELECT application_id, count(*) AS requests, CAST(sum(1 + user_id % 16) AS BIGINT) AS executors,
-        max(1 + user_id % 5) AS max_cores, max(1024 * (1 + user_id % 4)) AS max_memory_mb, CAST(384 AS BIGINT) AS max_overhead_mb
+        max(1 + user_id % 5) AS max_cores, max(1024 * (1 + user_id % 4)) AS max_memory_mb, max(CASE WHEN event_id % 2 = 0 THEN 384 + user_id END) AS max_overhead_mb
         FROM l WHERE event_type = 'signup' AND event_id % 3 <> 0 GROUP BY 1""",
     "container_sizes": LOGS + """ SELECT 1024 * (1 + user_id % 4) AS memory_mb, 1 + user_id % 5 AS vcores, count(*) AS "count"
         FROM l WHERE event_type = 'signup' AND event_id % 3 = 0 GROUP BY 1, 2""",
@@ -177,7 +186,9 @@ ORACLES: dict[str, str] = {
     "input_splits": LOGS + """ SELECT concat('hdfs://10.0.0.1:9000/in/part', CAST(event_id % 4 AS VARCHAR), '.txt') AS path,
         count(*) AS splits, CAST(sum(user_id * 7) AS BIGINT) AS bytes FROM l WHERE event_type = 'error' GROUP BY 1""",
     "broadcast_reads": LOGS + """ SELECT application_id, event_id % 20 AS broadcast_id, count(*) AS reads
-        FROM l WHERE event_type = 'purchase' AND event_id % 3 = 0 GROUP BY 1, 2""",
+        FROM l WHERE event_type = 'purchase' AND event_id % 3 = 0 AND event_id % 13 <> 5 GROUP BY 1, 2""",
+    "memory_capacity": LOGS + """ SELECT application_id, container_id, CAST((1.5 + user_id % 900) * 1048576 AS BIGINT) AS capacity_bytes
+        FROM l WHERE event_type = 'purchase' AND event_id % 13 = 5""",
     # trips
     "daily_summary": DAILY + " SELECT * FROM daily",
     "daily_top20": DAILY + " SELECT * FROM daily ORDER BY dt_year DESC, dt_month DESC, dt_day DESC LIMIT 20",
@@ -189,7 +200,7 @@ ORACLES: dict[str, str] = {
     "month_scan": MONTHS,
     "year_scan": MONTHS,
     # session and results
-    "range_even_double": """SELECT 2 * i AS doubled FROM (SELECT unnest(range(0, (SELECT count(*) FROM events))) AS i) WHERE i % 2 = 0""",
+    "even_doubled": "SELECT 2 * event_id AS doubled FROM events WHERE event_id % 2 = 0",
     "sql_count": "SELECT count(*) AS total FROM orders",
     "results_reload": LOGS + USAGE + " SELECT cluster_id, application_id, start_time, end_time FROM pad",
 }

@@ -6,12 +6,14 @@ operators have to parse it again. It is plain SQL, so a check can start from the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timberline.functions import parse
 from timberline.operators.daily import TLC
-from timberline.session import scratch_path
+from timberline.session import scratch_path, scratch_root
 
 TYPED = """
 WITH e AS (
@@ -34,8 +36,10 @@ WITH e AS (
       WHEN 'error' THEN concat('Input split: hdfs://10.0.0.1:9000/in/part', CAST(event_id % 4 AS STRING), '.txt:', CAST(event_id * 100 AS STRING), '+', CAST(user_id * 7 AS STRING), CASE WHEN event_id % 7 = 0 THEN ' after WARN' ELSE '' END)
       WHEN 'signup' THEN CASE WHEN event_id % 3 = 0
         THEN concat('Container request (host: Any, capability: <memory:', CAST(1024 * (1 + user_id % 4) AS STRING), ', vCores:', CAST(1 + user_id % 5 AS STRING), '>)')
-        ELSE concat('Will request ', CAST(1 + user_id % 16 AS STRING), ' executor containers, each with ', CAST(1 + user_id % 5 AS STRING), ' cores and ', CAST(1024 * (1 + user_id % 4) AS STRING), ' MB memory including 384 MB overhead') END
-      WHEN 'purchase' THEN CASE WHEN event_id % 3 = 0
+        ELSE concat('Will request ', CAST(1 + user_id % 16 AS STRING), ' executor containers, each with ', CAST(1 + user_id % 5 AS STRING), ' cores and ', CAST(1024 * (1 + user_id % 4) AS STRING), ' MB memory', CASE WHEN event_id % 2 = 0 THEN concat(' including ', CAST(384 + user_id AS STRING), ' MB overhead') ELSE '' END) END
+      WHEN 'purchase' THEN CASE WHEN event_id % 13 = 5
+        THEN concat('MemoryStore started with capacity ', CAST(1 + user_id % 900 AS STRING), '.5 MB')
+        WHEN event_id % 3 = 0
         THEN concat('Started reading broadcast variable ', CAST(event_id % 20 AS STRING))
         ELSE concat('Block broadcast_', CAST(event_id AS STRING), ' stored as bytes in memory (estimated size ', CAST(1 + event_id % 900 AS STRING), '.5 ', CASE WHEN event_id % 4 = 0 THEN 'MB' ELSE 'KB' END, ', free 1155.2 KB)') END
       WHEN 'click' THEN CASE event_id % 3
@@ -69,24 +73,38 @@ def log_folder(spark: SparkSession, sf_dir: str, by: tuple[str, ...] = ("app", "
 
     Rows are put in the order of the folders first, so that a task writes few files. The event id ends the
     order, so a folder with very many lines is split over several tasks and gets several files. The number
-    of tasks is given, as it is the number of files that costs time here, not their size.
+    of tasks follows the data. The folder is written once in a session.
     """
-    path = scratch_path(spark, "logs")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _once(spark, sf_dir, ("logs", *by), lambda path: _write_logs(spark, sf_dir, by, path))
+
+
+# Folders by session, tables and content.
+_folders: dict[tuple, str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, what: tuple[str, ...], write: Callable[[str], None]) -> str:
+    root = scratch_root(spark)
+    if (root, sf_dir, what) not in _folders:
+        path = scratch_path(spark, what[0])
+        write(path)
+        _folders[root, sf_dir, what] = path
+    return _folders[root, sf_dir, what]
+
+
+def _write_logs(spark: SparkSession, sf_dir: str, by: tuple[str, ...], path: str) -> None:
     (
         logs(spark, sf_dir)
         .select(
             "event_id",
-            parse.app_id("file_path").alias("app"),
+            parse.owner("file_path").alias("app"),
             F.concat(parse.container_id("file_path"), F.lit(".log")).alias("container"),
             "value",
         )
-        .repartitionByRange(tasks, *by, "event_id")
+        .repartitionByRange(*by, "event_id")
         .select("value", *by)
         .write.partitionBy(*by)
         .text(path)
     )
-    return path
 
 
 # Places of the log files in the folder above, by application alone.
@@ -110,13 +128,7 @@ FOLDER_MONTH = "yyyy={year}/mm={month}"
 
 
 def trip_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The trips as Parquet in a folder per year and month; returns the root folder."""
-    path = scratch_path(spark, "trips")
-    (
-        trips(spark, sf_dir)
-        .withColumns({"yyyy": F.year(TLC.pickup), "mm": F.month(TLC.pickup)})
-        .hint("rebalance", "yyyy", "mm")
-        .write.partitionBy("yyyy", "mm")
-        .parquet(path)
-    )
-    return path
+    """The trips as Parquet in a folder per year and month, written once in a session; returns the root folder."""
+    months = trips(spark, sf_dir).withColumns({"yyyy": F.year(TLC.pickup), "mm": F.month(TLC.pickup)})
+    by_month = months.hint("rebalance", "yyyy", "mm").write.partitionBy("yyyy", "mm")
+    return _once(spark, sf_dir, ("trips",), by_month.parquet)

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.driver.maxResultSize": "2g",
     # The JVM leaves larger methods uncompiled; Spark then splits a wide expression instead of fusing it.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Percentile sketches are hashed up to so many groups in a task and sorted beyond: just above the days of a year.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "400",
 }
 
 # Folder below the warehouse that takes the place of spark.checkpoint.dir where that is not set.
@@ -34,6 +36,7 @@ _roots: dict[str, str] = {}
 def settings(
     shuffle_partitions: int | None = None,
     listing_tasks: int | None = None,
+    max_scan_tasks: int | None = None,
     s3_credentials: str | None = None,
     **extra: str,
 ) -> dict[str, str]:
@@ -41,7 +44,9 @@ def settings(
 
     ``shuffle_partitions`` is the starting point of adaptive execution; give about two to three times the
     cluster's cores for large inputs. ``listing_tasks`` bounds the tasks that list folders; Spark's own
-    bound, one folder per task up to 10,000, suits a large cluster. ``s3_credentials`` is the class name of
+    bound, one folder per task up to 10,000, suits a large cluster. ``max_scan_tasks`` is the number of tasks that a
+    scan should have at most; it matters for listings of very many bytes, as tasks follow the length of files even
+    where only their names are read. ``s3_credentials`` is the class name of
     a credentials provider and turns on the S3A file system. Further settings are given in ``extra`` with
     ``__`` for each dot, for example ``spark__executor__memory="16g"``, and win over those above.
     """
@@ -50,6 +55,8 @@ def settings(
         chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if listing_tasks:
         chosen["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(listing_tasks)
+    if max_scan_tasks:
+        chosen["spark.sql.files.maxPartitionNum"] = str(max_scan_tasks)
     if s3_credentials:
         chosen["spark.hadoop.fs.s3a.impl"] = "org.apache.hadoop.fs.s3a.S3AFileSystem"
         chosen["spark.hadoop.fs.s3a.aws.credentials.provider"] = s3_credentials

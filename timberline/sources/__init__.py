@@ -2,7 +2,7 @@
 
 from timberline.sources.logs import app_catalog, file_inventory, files_of, read_logs
 from timberline.sources.tables import SUMMARY_SCHEMA, TIMELINE_SCHEMA, count_sql, generated_range, preview, profile, read_results
-from timberline.sources.trips import month_paths, plain_uri, read_trips, read_trips_below
+from timberline.sources.trips import month_paths, read_trips, read_trips_below
 
 __all__ = [
     "SUMMARY_SCHEMA",
@@ -13,7 +13,6 @@ __all__ = [
     "files_of",
     "generated_range",
     "month_paths",
-    "plain_uri",
     "preview",
     "profile",
     "read_logs",

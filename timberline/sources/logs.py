@@ -34,7 +34,7 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
         .select(F.col("path").alias("file_path"), "length")
     )
     return files.withColumns(
-        {"application_id": parse.app_id("file_path"), "container_id": parse.container_id("file_path")}
+        {"application_id": parse.owner("file_path"), "container_id": parse.container_id("file_path")}
     )
 
 
@@ -46,11 +46,10 @@ def files_of(lines: DataFrame) -> DataFrame:
 def app_catalog(files: DataFrame) -> DataFrame:
     """``cluster_id, application_id, app_number`` of all application folders that hold one of ``files``.
 
-    ``files`` needs only ``file_path``. The id must end a folder name; other folders are left out.
+    ``files`` needs only ``file_path``. The id must be the whole name of the folder; other folders are left out.
     """
-    folder = F.regexp_extract("file_path", rf"({parse.APPLICATION_ID})/", 1)
     return (
-        files.select(folder.alias("application_id"))
+        files.select(parse.owner("file_path").alias("application_id"))
         .filter(F.col("application_id") != "")
         .dropDuplicates(["application_id"])
         .select(

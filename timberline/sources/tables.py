@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +32,9 @@ def generated_range(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n)
 
 
-def count_sql(df: DataFrame, view: str) -> DataFrame:
-    """Row count by SQL over a temporary view."""
+def count_sql(df: DataFrame, view: str | None = None) -> DataFrame:
+    """Row count by SQL over a temporary view; without a name over one that no caller has."""
+    view = view or f"counted_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
     return df.sparkSession.sql(f"SELECT count(*) AS total FROM {view}")
 

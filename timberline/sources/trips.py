@@ -5,19 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Fixed value: place of a month below the root.
 MONTH_FILE = "yyyy={year}/yellow_tripdata_{year}-{month:02d}.parquet"
 
 
-def plain_uri(path: str) -> str:
-    """Object store address in its common form, without a trailing slash."""
-    if path.startswith("s3a://"):
-        path = "s3://" + path[len("s3a://") :]
-    return path.rstrip("/")
-
-
 def month_paths(root: str, year: int, months: Iterable[int], template: str = MONTH_FILE) -> list[str]:
     """Paths of the given months of a year."""
     return [f"{root.rstrip('/')}/{template.format(year=year, month=month)}" for month in months]
@@ -31,5 +23,5 @@ def read_trips(spark: SparkSession, paths: Iterable[str], base_path: str | None
 
 def read_trips_below(spark: SparkSession, root: str, year: int | None = None) -> DataFrame:
     """All trips below a root with ``yyyy=`` folders; with ``year`` only that folder is listed and read."""
-    trips = spark.read.option("basePath", root).parquet(root)
-    return trips if year is None else trips.filter(F.col("yyyy") == year)
+    path = root if year is None else f"{root.rstrip('/')}/yyyy={year}"
+    return spark.read.option("basePath", root).parquet(path)
