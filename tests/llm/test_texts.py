@@ -166,6 +166,14 @@ def test_a_large_group_of_near_copies(docs_of):
     assert all(row.class_id == row.doc_id for row in found if row.doc_id >= 1000)
 
 
+def test_a_bucket_in_blocks_gives_the_same(docs_of, monkeypatch):
+    docs = docs_of(near_docs())
+    want = sorted(map(tuple, neardup.classes(docs).collect()), key=str)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(neardup, "LEADER_ROUNDS", 0)
+    assert sorted(map(tuple, neardup.classes(docs).collect()), key=str) == want
+
+
 def test_near_duplicates_of_an_empty_table(docs_of):
     assert neardup.classes(docs_of([])).collect() == []
     assert neardup.classes(docs_of([(1, None), (2, "")])).count() == 2

@@ -7,10 +7,11 @@ document frequencies are those of hashed shingles, a table of fixed width over a
 Consistent weighted sampling draws, for each of a number of hash functions, one shingle and a level of its weight; two
 documents draw the same with the probability of their weighted Jaccard similarity. The draws are banded. Documents
 that share a band meet in a bucket, and pairs are verified by the exact weighted Jaccard similarity of their
-shingles. Equal documents are put together first. A bucket does not give all its pairs: in each round its members are
-compared with one of them, and go on only as far as they are not in one component yet; when few pairs between
-different components are left, all of them are compared. So no link that the buckets show is lost, save links inside of
-a component that is known already.
+shingles. Equal documents are put together first. A bucket does not give all its pairs: first its members are
+compared with its smallest one, which makes most of a group of copies one component. Then the members outside of a
+bucket's largest component are compared with all others, by their draws and inside of a task, and only pairs that
+agree enough come out of it and are verified. So no link that the buckets show is lost, save links inside of a component
+that is known already.
 """
 
 from __future__ import annotations
@@ -34,10 +35,15 @@ SIMILARITY = 0.8
 BANDS, DRAWS = 12, 5
 # Cells of the table of document frequencies.
 CELLS = 1 << 20
-# Pairs whose draws agree less are not verified; four standard deviations below the similarity.
-LEAST_AGREEMENT = 0.59
-# Rounds of one leader for each bucket go on while more pairs than this share of its rows are left.
-PAIRS_PER_ROW = 2.0
+# Pairs whose draws agree less are not verified; 2.5 standard deviations below the similarity.
+LEAST_AGREEMENT = 0.67
+# Rounds in which the members of a bucket are compared with its smallest one only, before all pairs of different
+# components are.
+LEADER_ROUNDS = 2
+# Members of a bucket that meet in one task; a larger bucket is dealt out to several.
+BLOCK_ROWS = 4096
+# Bytes of comparisons that a task holds at once.
+_HELD = 16 << 20
 
 _DRAWN = "doc_id long, high long, low long, bands array<long>, draws binary, shingles binary"
 _STEPS = 1 << 16
@@ -182,28 +188,75 @@ def verified(pairs: DataFrame, own: DataFrame, idf, least: float) -> DataFrame:
 
 
 def linked(members: DataFrame, own: DataFrame, idf, least: float, kept: Workspace) -> DataFrame:
-    """``node, root`` of the documents that are linked, from ``key, doc_id`` of the buckets."""
-    now = members
-    stars = None
-    while True:
-        # One leader for each bucket, the smallest member that is left, and the members of other components.
+    """``node, root`` of the documents that are linked, from ``key, doc_id, root`` of the buckets."""
+    now, stars = members, None
+    for _ in range(LEADER_ROUNDS):
         leader = now.groupBy("key").agg(F.min("doc_id").alias("lead"), F.min_by("root", "doc_id").alias("lead_root"))
         with_leader = now.join(leader, "key")
         pairs = with_leader.where("root <> lead_root").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-        edges = verified(pairs, own, idf, least)
-        stars = components(edges if stars is None else edges.unionAll(stars.select(F.col("node").alias("a"), F.col("root").alias("b"))), kept)
-        left = with_leader.where("doc_id <> lead").select("key", "doc_id")
-        now = kept(open_buckets(rooted(left, stars)), "open")
-        sizes = now.groupBy("key", "root").agg(F.count("*").alias("n"))
-        by_key = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        total = by_key.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
-        if not total.rows:
-            return stars
-        if total.pairs <= PAIRS_PER_ROW * total.rows:
-            break
-    a, b = (now.select("key", F.col("doc_id").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-    rest = a.join(b, "key").where("a < b and root_a <> root_b").select("a", "b").distinct()
-    return components(verified(rest, own, idf, least).unionAll(stars.select(F.col("node").alias("a"), F.col("root").alias("b"))), kept)
+        stars = components(and_stars(verified(pairs, own, idf, least), stars), kept)
+        now = kept(open_buckets(rooted(with_leader.where("doc_id <> lead").select("key", "doc_id"), stars)), "open")
+    return components(and_stars(verified(agreeing(now, own), own, idf, least), stars), kept)
+
+
+def and_stars(edges: DataFrame, stars: DataFrame | None) -> DataFrame:
+    return edges if stars is None else edges.unionAll(stars.select(F.col("node").alias("a"), F.col("root").alias("b")))
+
+
+def agreeing(members: DataFrame, own: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of one bucket and of different components whose draws agree enough, from ``key, doc_id, root``.
+
+    Of two members of different components one at least is outside of the bucket's largest component. Those outside
+    are copied to each block of their bucket and compared there with its members.
+    """
+    sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"))
+    buckets = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"))
+    buckets = buckets.select("key", "main", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"))
+    rows = members.join(buckets, "key").join(own.select("doc_id", "draws"), "doc_id")
+    rows = rows.withColumn("outside", F.col("root") != F.col("main"))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks")).withColumn("copy", F.lit(False))
+    copies = rows.where("outside").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("copy", F.lit(True))
+    columns = ["key", "block", "copy", "outside", "doc_id", "root", "draws"]
+    both = dealt.select(*columns).unionByName(copies.select(*columns)).repartition("key", "block").sortWithinPartitions("key", "block")
+
+    def pairs_of(group: pa.Table) -> pa.RecordBatch:
+        copy, outside, ids, roots = (group.column(i).to_numpy() for i in (2, 3, 4, 5))
+        draws = np.frombuffer(b"".join(group.column(6).to_pylist()), "<u4").reshape(ids.size, -1)
+        x, y = np.flatnonzero(copy), np.flatnonzero(~copy)
+        left, right = [], []
+        step = max(1, _HELD // max(1, y.size * draws.shape[1]))
+        for top in range(0, x.size, step):
+            own_x = x[top : top + step]
+            agree = (draws[own_x][:, None, :] == draws[y][None, :, :]).mean(axis=2, dtype=np.float32) >= LEAST_AGREEMENT
+            agree &= roots[own_x][:, None] != roots[y][None, :]
+            # Two members outside meet twice.
+            agree &= ~outside[y][None, :] | (ids[own_x][:, None] < ids[y][None, :])
+            i, j = np.nonzero(agree)
+            left.append(ids[own_x[i]])
+            right.append(ids[y[j]])
+        a, b = (np.concatenate(part) if part else np.zeros(0, np.int64) for part in (left, right))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, block = (batch.column(i).to_numpy() for i in (0, 1))
+            changes = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
+            if held and (held[-1].column(0)[-1].as_py(), held[-1].column(1)[-1].as_py()) != (key[0], block[0]):
+                yield pairs_of(pa.Table.from_batches(held))
+                held = []
+            bounds = [0, *changes.tolist(), batch.num_rows]
+            for start, end in zip(bounds[:-1], bounds[1:]):
+                held.append(batch.slice(start, end - start))
+                if end < batch.num_rows:
+                    yield pairs_of(pa.Table.from_batches(held))
+                    held = []
+        if held:
+            yield pairs_of(pa.Table.from_batches(held))
+
+    return both.mapInArrow(compare, "a long, b long").distinct()
 
 
 def rooted(rows: DataFrame, stars: DataFrame) -> DataFrame:
@@ -230,10 +283,12 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     with Workspace(spark, "near-duplicates") as kept:
         every = kept(drawn(texts, idf), "drawn")
         first = kept(every.where("high is not null and doc_id is not null").groupBy("high", "low").agg(F.min("doc_id").alias("first")), "first")
-        own = every.join(first.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
-        keys = own.select("doc_id", F.explode("bands").alias("key"))
-        members = keys.distinct().select("key", "doc_id", F.col("doc_id").alias("root"))
-        stars = linked(kept(open_buckets(members), "members"), own, idf, least, kept)
+        bands = every.select("doc_id", "bands").join(first.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
+        keys = bands.select("doc_id", F.explode("bands").alias("key")).distinct()
+        members = kept(open_buckets(keys.select("key", "doc_id", F.col("doc_id").alias("root"))), "members")
+        # Only what shares a bucket is looked at again.
+        own = every.join(members.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "draws", "shingles")
+        stars = linked(members, kept(own.dropDuplicates(["doc_id"]), "compared"), idf, least, kept)
         named = first.join(stars, first["first"] == stars.node, "left").select("high", "low", F.coalesce("root", "first").alias("class_id"))
         return materialize(
             every.select("doc_id", "high", "low").join(named, ["high", "low"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")),
