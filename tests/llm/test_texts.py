@@ -184,7 +184,8 @@ def test_draws_agree_as_often_as_documents_are_alike(spark):
     pairs = [(1, text), (2, changed(text, 30)), (3, changed(text, 12))]
     table = spark.createDataFrame(pairs, "doc_id long, text string")
     idf = neardup.inverse(neardup.document_frequencies(table), 3)
-    rows = {r.doc_id: r for r in neardup.drawn(table, spark.sparkContext.broadcast(idf)).collect()}
+    drawn = neardup.drawn(table, spark.sparkContext.broadcast(idf)).join(neardup.looked_at(table, table), "doc_id")
+    rows = {r.doc_id: r for r in drawn.collect()}
     draws = {i: np.frombuffer(r.draws, "<u4") for i, r in rows.items()}
     for other in (2, 3):
         exact = neardup.similarity(*(np.frombuffer(rows[i].shingles, "<u4") for i in (1, other)), idf)
@@ -206,7 +207,7 @@ def test_repeated_links_of_a_bucket_are_found_beyond_its_leader(spark, docs_of):
     table = docs_of(docs).select("doc_id", "text")
     idf = spark.sparkContext.broadcast(neardup.inverse(neardup.document_frequencies(table), 5))
     with Workspace(spark, "test") as kept:
-        own = kept(neardup.drawn(table, idf), "drawn")
+        own = kept(neardup.drawn(table, idf).join(neardup.looked_at(table, table), "doc_id"), "drawn")
         members = table.select(F.lit(1).cast("long").alias("key"), "doc_id", F.col("doc_id").alias("root"))
         roots = {r.node: r.root for r in neardup.linked(members, own, idf, 0.8, kept).collect()}
     assert roots == {6: 5, 8: 7}

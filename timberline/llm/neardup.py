@@ -10,7 +10,7 @@ that share a band meet in a bucket, and pairs are verified by the exact weighted
 shingles. Equal documents are put together first. A bucket does not give all its pairs: first its members are
 compared with its smallest one, which makes most of a group of copies one component. Then the members outside of a
 bucket's largest component are compared with all others, by their draws and inside of a task, and only pairs that
-agree enough come out of it and are verified. So no link that the buckets show is lost, save links inside of a component
+agree enough are verified. So no link that the buckets show is lost, save links inside of a component
 that is known already.
 """
 
@@ -45,7 +45,7 @@ BLOCK_ROWS = 4096
 # Bytes of comparisons that a task holds at once.
 _HELD = 16 << 20
 
-_DRAWN = "doc_id long, high long, low long, bands array<long>, draws binary, shingles binary"
+_DRAWN = "doc_id long, high long, low long, bands array<long>, draws binary"
 _STEPS = 1 << 16
 
 
@@ -100,8 +100,8 @@ def inverse(frequencies: np.ndarray, documents: int) -> np.ndarray:
 
 
 def drawn(texts: DataFrame, idf) -> DataFrame:
-    """What each document is compared by, as in ``_DRAWN``: two numbers that equal documents share, its bands, its draws, and its
-    shingles as 32-bit numbers, each as often as it occurs. Documents without words have nulls."""
+    """What each document is compared by, as in ``_DRAWN``: two numbers that equal documents share, its bands and
+    its draws. Documents without words have nulls."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, (gamma, log_gamma) = Shingles(), _tables()
@@ -139,8 +139,6 @@ def drawn(texts: DataFrame, idf) -> DataFrame:
                 take = lambda array: array.take(index)
                 if not there.size:
                     bands, high, low = np.zeros((0, BANDS), np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(np.searchsorted(there, row), weights=counts, minlength=there.size)).astype(np.int64)])
-                flat = np.repeat(own.astype("<u4"), counts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(top, last - top),
@@ -148,14 +146,43 @@ def drawn(texts: DataFrame, idf) -> DataFrame:
                         take(pa.array(low.view(np.int64))),
                         take(pa.ListArray.from_arrays(pa.array(np.arange(there.size + 1) * BANDS, pa.int32()), pa.array(bands.reshape(-1).view(np.int64)))),
                         take(pa.array([x.tobytes() for x in draws], pa.binary())),
-                        take(pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())),
                     ],
-                    names=["doc_id", "high", "low", "bands", "draws", "shingles"],
+                    names=["doc_id", "high", "low", "bands", "draws"],
                 )
 
     return texts.select("doc_id", "text").mapInArrow(run, _DRAWN)
 
 
+def looked_at(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """``doc_id, shingles`` of the documents among ``members`` and a few more: 32-bit numbers, each as often as it occurs.
+
+    Which documents these are is sent to the tasks as a table of fixed width, so only their shingles are made and moved.
+    """
+
+    def cells_of(ids: pa.Array) -> np.ndarray:
+        numbers = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        return (mixed(numbers, 23) & np.uint64(CELLS - 1)).astype(np.int64)
+
+    def cells(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield cells_of(batch.column(0))
+
+    wanted = texts.sparkSession.sparkContext.broadcast(counted(members.select("doc_id").distinct(), cells, CELLS) > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles()
+        for batch in batches:
+            batch = batch.take(pa.array(np.flatnonzero(wanted.value[cells_of(batch.column(0))])))
+            for top, last, data, at in pieces(batch.column(1)):
+                row, own, counts = shingles.of(data, at)
+                flat = np.repeat(own.astype("<u4"), counts)
+                ends = np.cumsum(np.bincount(row, weights=counts, minlength=last - top)).astype(np.int64)
+                bounds = zip([0, *ends[:-1].tolist()], ends.tolist())
+                made = pa.array([flat[a:b].tobytes() for a, b in bounds], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(top, last - top), made], names=["doc_id", "shingles"])
+
+    return texts.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
+
+
 def similarity(a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> float:
     """Weighted Jaccard similarity of two sorted lists of shingles with repeats."""
     everything = np.concatenate([a, b])
@@ -196,46 +223,60 @@ def linked(members: DataFrame, own: DataFrame, idf, least: float, kept: Workspac
         pairs = with_leader.where("root <> lead_root").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
         stars = components(and_stars(verified(pairs, own, idf, least), stars), kept)
         now = kept(open_buckets(rooted(with_leader.where("doc_id <> lead").select("key", "doc_id"), stars)), "open")
-    return components(and_stars(verified(agreeing(now, own), own, idf, least), stars), kept)
+    return components(and_stars(links_left(now, own, idf, least), stars), kept)
 
 
 def and_stars(edges: DataFrame, stars: DataFrame | None) -> DataFrame:
     return edges if stars is None else edges.unionAll(stars.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
 
-def agreeing(members: DataFrame, own: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of one bucket and of different components whose draws agree enough, from ``key, doc_id, root``.
+def links_left(members: DataFrame, own: DataFrame, idf, least: float) -> DataFrame:
+    """Links ``a, b`` between members of a bucket of different components, from ``key, doc_id, root``.
 
     Of two members of different components one at least is outside of the bucket's largest component. Those outside
-    are copied to each block of their bucket and compared there with its members.
+    are copied to each block of their bucket and compared there with its members: first by their draws, then, those that
+    agree enough, by their shingles, the best first. A link joins two components, so that no other pair of these two is
+    compared in the block. Only links leave the task.
     """
     sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"))
     buckets = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"))
     buckets = buckets.select("key", "main", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"))
-    rows = members.join(buckets, "key").join(own.select("doc_id", "draws"), "doc_id")
+    rows = members.join(buckets, "key").join(own, "doc_id")
     rows = rows.withColumn("outside", F.col("root") != F.col("main"))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks")).withColumn("copy", F.lit(False))
     copies = rows.where("outside").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("copy", F.lit(True))
-    columns = ["key", "block", "copy", "outside", "doc_id", "root", "draws"]
+    columns = ["key", "block", "copy", "outside", "doc_id", "root", "draws", "shingles"]
     both = dealt.select(*columns).unionByName(copies.select(*columns)).repartition("key", "block").sortWithinPartitions("key", "block")
 
     def pairs_of(group: pa.Table) -> pa.RecordBatch:
         copy, outside, ids, roots = (group.column(i).to_numpy() for i in (2, 3, 4, 5))
         draws = np.frombuffer(b"".join(group.column(6).to_pylist()), "<u4").reshape(ids.size, -1)
         x, y = np.flatnonzero(copy), np.flatnonzero(~copy)
-        left, right = [], []
+        texts = [np.frombuffer(x, "<u4") for x in group.column(7).to_pylist()]
+        parent: dict[int, int] = {}
+
+        def top_of(root: int) -> int:
+            while parent.get(root, root) != root:
+                root = parent[root]
+            return root
+
+        links = []
         step = max(1, _HELD // max(1, y.size * draws.shape[1]))
         for top in range(0, x.size, step):
             own_x = x[top : top + step]
-            agree = (draws[own_x][:, None, :] == draws[y][None, :, :]).mean(axis=2, dtype=np.float32) >= LEAST_AGREEMENT
-            agree &= roots[own_x][:, None] != roots[y][None, :]
+            agree = (draws[own_x][:, None, :] == draws[y][None, :, :]).mean(axis=2, dtype=np.float32)
+            may = (agree >= LEAST_AGREEMENT) & (roots[own_x][:, None] != roots[y][None, :])
             # Two members outside meet twice.
-            agree &= ~outside[y][None, :] | (ids[own_x][:, None] < ids[y][None, :])
-            i, j = np.nonzero(agree)
-            left.append(ids[own_x[i]])
-            right.append(ids[y[j]])
-        a, b = (np.concatenate(part) if part else np.zeros(0, np.int64) for part in (left, right))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            may &= ~outside[y][None, :] | (ids[own_x][:, None] < ids[y][None, :])
+            i, j = np.nonzero(may)
+            for k in np.argsort(-agree[i, j], kind="stable").tolist():
+                a, b = own_x[i[k]], y[j[k]]
+                left, right = top_of(int(roots[a])), top_of(int(roots[b]))
+                if left != right and similarity(texts[a], texts[b], idf.value) >= least:
+                    parent[left] = right
+                    links.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -287,7 +328,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         keys = bands.select("doc_id", F.explode("bands").alias("key")).distinct()
         members = kept(open_buckets(keys.select("key", "doc_id", F.col("doc_id").alias("root"))), "members")
         # Only what shares a bucket is looked at again.
-        own = every.join(members.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "draws", "shingles")
+        own = looked_at(texts, members).join(every.select("doc_id", "draws"), "doc_id")
         stars = linked(members, kept(own.dropDuplicates(["doc_id"]), "compared"), idf, least, kept)
         named = first.join(stars, first["first"] == stars.node, "left").select("high", "low", F.coalesce("root", "first").alias("class_id"))
         return materialize(
