@@ -211,3 +211,44 @@ def test_repeated_links_of_a_bucket_are_found_beyond_its_leader(spark, docs_of):
         members = table.select(F.lit(1).cast("long").alias("key"), "doc_id", F.col("doc_id").alias("root"))
         roots = {r.node: r.root for r in neardup.linked(members, own, idf, 0.8, kept).collect()}
     assert roots == {6: 5, 8: 7}
+
+
+@pytest.mark.parametrize("rounds,block_rows", [(2, 4096), (0, 4096), (0, 2)])
+def test_a_pair_whose_draws_hardly_agree_is_compared_nevertheless(spark, docs_of, monkeypatch, rounds, block_rows):
+    monkeypatch.setattr(neardup, "LEADER_ROUNDS", rounds)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", block_rows)
+    text = prose(21, 100)
+    docs = [(1, text), (2, changed(text, 60)), (3, changed(text, 6)), (4, prose(22, 100)), (5, SHARED + " " + prose(23, 100))]
+    table = docs_of(docs).select("doc_id", "text")
+    idf = neardup.inverse(neardup.document_frequencies(table), 5)
+    with Workspace(spark, "test") as kept:
+        shown = neardup.looked_at(table, table)
+        # Draws of which no two documents have one in common.
+        none = F.udf(lambda i: np.full(neardup.BANDS * neardup.DRAWS, i, "<u4").tobytes(), "binary")
+        own = kept(shown.withColumn("draws", none("doc_id")), "drawn")
+        members = table.select(F.lit(1).cast("long").alias("key"), "doc_id", F.col("doc_id").alias("root"))
+        found = {r.doc_id: np.frombuffer(r.shingles, "<u4") for r in own.collect()}
+        assert neardup.similarity(found[1], found[2], idf) >= 0.8 > neardup.similarity(found[1], found[3], idf)
+        roots = {r.node: r.root for r in neardup.linked(members, own, spark.sparkContext.broadcast(idf), 0.8, kept).collect()}
+    assert roots == {2: 1}
+
+
+def test_heads_of_alike_lists_meet():
+    draw = np.random.default_rng(5)
+    idf = (1 + draw.random(neardup.CELLS)).astype(np.float32)
+    base = draw.integers(0, 1 << 32, 60, dtype=np.uint32)
+    texts = []
+    for _ in range(60):
+        own = base.copy()
+        new = draw.random(60) < draw.choice([0.02, 0.05, 0.1, 0.15])
+        own[new] = draw.integers(0, 1 << 32, int(new.sum()), dtype=np.uint32)
+        texts.append(np.sort(np.concatenate([own, own[: draw.integers(0, 8)]])))
+    weights, lists, keys = neardup.heads(texts, idf, 0.8)
+    shown = [set(keys[lists == i].tolist()) for i in range(60)]
+    alike = 0
+    for i in range(60):
+        for j in range(i):
+            if neardup.similarity(texts[i], texts[j], idf) >= 0.8:
+                alike += 1
+                assert shown[i] & shown[j] and min(weights[i], weights[j]) >= 0.8 * max(weights[i], weights[j])
+    assert 100 < alike < 1770

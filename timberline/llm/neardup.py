@@ -9,9 +9,10 @@ documents draw the same with the probability of their weighted Jaccard similarit
 that share a band meet in a bucket, and pairs are verified by the exact weighted Jaccard similarity of their
 shingles. Equal documents are put together first. A bucket does not give all its pairs: first its members are
 compared with its smallest one, which makes most of a group of copies one component. Then the members outside of a
-bucket's largest component are compared with all others, by their draws and inside of a task, and only pairs that
-agree enough are verified. So no link that the buckets show is lost, save links inside of a component
-that is known already.
+bucket's largest component are compared with all others inside of a task. There a pair is left out only where a bound
+shows that it is not alike enough: by the weights of both, or because they share none of the rarer shingles, of which
+alike documents share one. The share of equal draws only orders the comparisons. So no link that the buckets show is
+lost, save links inside of a component that is known already.
 """
 
 from __future__ import annotations
@@ -35,8 +36,6 @@ SIMILARITY = 0.8
 BANDS, DRAWS = 12, 5
 # Cells of the table of document frequencies.
 CELLS = 1 << 20
-# Pairs whose draws agree less are not verified; 2.5 standard deviations below the similarity.
-LEAST_AGREEMENT = 0.67
 # Rounds in which the members of a bucket are compared with its smallest one only, before all pairs of different
 # components are.
 LEADER_ROUNDS = 2
@@ -44,6 +43,8 @@ LEADER_ROUNDS = 2
 BLOCK_ROWS = 4096
 # Bytes of comparisons that a task holds at once.
 _HELD = 16 << 20
+# Bounds leave so much room for rounding.
+_ROOM = 1 - 1e-6
 
 _DRAWN = "doc_id long, high long, low long, bands array<long>, draws binary"
 _STEPS = 1 << 16
@@ -193,15 +194,35 @@ def similarity(a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> float:
     return float((np.minimum(left, right) * weight).sum()) / most if most else 0.0
 
 
-def verified(pairs: DataFrame, own: DataFrame, idf, least: float) -> DataFrame:
-    """Those of the pairs ``a, b`` whose similarity is ``least`` or more; before that, those whose draws agree enough."""
-    side = lambda name, *columns: own.select(F.col("doc_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+def heads(texts: list[np.ndarray], idf: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weight of each sorted list of shingles; and the heads of the lists, as list numbers and shingles.
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(batch.num_rows, -1) for i in (2, 3))
-            keep = np.flatnonzero((left == right).mean(axis=1) >= LEAST_AGREEMENT) if batch.num_rows else np.zeros(0, np.int64)
-            yield batch.select([0, 1]).take(pa.array(keep))
+    Shingles are ordered by the number of lists that have them, the rarest first. A pair whose first common shingle in
+    this order is at some place has no more in common than either list weighs from there on, and has to have ``least`` of
+    its weight in common. So the head of a list ends where less than that is left, and alike lists have heads that meet.
+    """
+    sizes = [x.size for x in texts]
+    keys = np.concatenate([*texts, np.zeros(0, "<u4")])
+    lists = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    new = np.append(True, (keys[1:] != keys[:-1]) | (lists[1:] != lists[:-1]))[: keys.size]
+    begin = np.flatnonzero(new)
+    counts = np.diff(np.append(begin, keys.size))
+    keys, lists = keys[begin], lists[begin]
+    weight = counts * idf[(keys & np.uint32(CELLS - 1)).astype(np.int64)].astype(np.float64)
+    _, which, often = np.unique(keys, return_inverse=True, return_counts=True)
+    order = np.lexsort((which, often[which], lists))
+    keys, lists, weight = keys[order], lists[order], weight[order]
+    totals = np.bincount(lists, weights=weight, minlength=len(texts))
+    # What a list weighs from each of its places on.
+    up_to = np.cumsum(weight)
+    left = np.cumsum(totals)[lists] - up_to + weight
+    head = left >= least * totals[lists] * _ROOM - 1e-9 * (up_to[-1] if up_to.size else 0.0)
+    return totals, lists[head], keys[head]
+
+
+def verified(pairs: DataFrame, own: DataFrame, idf, least: float) -> DataFrame:
+    """Those of the pairs ``a, b`` whose similarity is ``least`` or more."""
+    side = lambda name: own.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"shingles_{name}"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,9 +230,7 @@ def verified(pairs: DataFrame, own: DataFrame, idf, least: float) -> DataFrame:
             keep = [i for i, (x, y) in enumerate(zip(*texts)) if similarity(x, y, idf.value) >= least]
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    near = pairs.join(side("a", "draws"), "a").join(side("b", "draws"), "b").select("a", "b", "draws_a", "draws_b").mapInArrow(agree, "a long, b long")
-    near = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b").select("a", "b", "shingles_a", "shingles_b")
-    return near.mapInArrow(compare, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "shingles_a", "shingles_b").mapInArrow(compare, "a long, b long")
 
 
 def linked(members: DataFrame, own: DataFrame, idf, least: float, kept: Workspace) -> DataFrame:
@@ -234,9 +253,9 @@ def links_left(members: DataFrame, own: DataFrame, idf, least: float) -> DataFra
     """Links ``a, b`` between members of a bucket of different components, from ``key, doc_id, root``.
 
     Of two members of different components one at least is outside of the bucket's largest component. Those outside
-    are copied to each block of their bucket and compared there with its members: first by their draws, then, those that
-    agree enough, by their shingles, the best first. A link joins two components, so that no other pair of these two is
-    compared in the block. Only links leave the task.
+    are copied to each block of their bucket and compared there with its members, by their shingles, those first whose
+    draws agree most. Pairs that the bounds of ``heads`` rule out are not compared. A link joins two components, so that no
+    other pair of these two is compared in the block. Only links leave the task.
     """
     sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"))
     buckets = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"))
@@ -261,15 +280,34 @@ def links_left(members: DataFrame, own: DataFrame, idf, least: float) -> DataFra
             return root
 
         links = []
+        weights, lists, keys = heads(texts, idf.value, least)
+        place = np.full(ids.size, -1)
+        place[y] = np.arange(y.size)
+        of_y = np.flatnonzero(place[lists] >= 0)
+        of_y = of_y[np.argsort(keys[of_y], kind="stable")]
+        keys_y, place_y = keys[of_y], place[lists[of_y]]
         step = max(1, _HELD // max(1, y.size * draws.shape[1]))
         for top in range(0, x.size, step):
             own_x = x[top : top + step]
-            agree = (draws[own_x][:, None, :] == draws[y][None, :, :]).mean(axis=2, dtype=np.float32)
-            may = (agree >= LEAST_AGREEMENT) & (roots[own_x][:, None] != roots[y][None, :])
+            # The heads of a list are together.
+            entries = np.concatenate([np.arange(*np.searchsorted(lists, [n, n + 1])) for n in own_x])
+            rows = np.searchsorted(own_x, lists[entries])
+            start = np.searchsorted(keys_y, keys[entries], "left")
+            number = np.searchsorted(keys_y, keys[entries], "right") - start
+            may = np.zeros((own_x.size, y.size), bool)
+            cuts = np.searchsorted(np.cumsum(number), np.arange(_HELD // 8, number.sum(), _HELD // 8)).tolist()
+            for low, high in zip([0, *cuts], [*cuts, number.size]):
+                n = number[low:high]
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[low:high], n)
+                may[np.repeat(rows[low:high], n), place_y[at]] = True
+            w_x, w_y = weights[own_x][:, None], weights[y][None, :]
+            may &= np.minimum(w_x, w_y) >= least * np.maximum(w_x, w_y) * _ROOM
+            may &= roots[own_x][:, None] != roots[y][None, :]
             # Two members outside meet twice.
             may &= ~outside[y][None, :] | (ids[own_x][:, None] < ids[y][None, :])
             i, j = np.nonzero(may)
-            for k in np.argsort(-agree[i, j], kind="stable").tolist():
+            agree = np.concatenate([(draws[own_x[i[n : n + 65536]]] == draws[y[j[n : n + 65536]]]).mean(axis=1) for n in range(0, i.size, 65536)] or [np.zeros(0)])
+            for k in np.argsort(-agree, kind="stable").tolist():
                 a, b = own_x[i[k]], y[j[k]]
                 left, right = top_of(int(roots[a])), top_of(int(roots[b]))
                 if left != right and similarity(texts[a], texts[b], idf.value) >= least:
