@@ -142,6 +142,23 @@ def test_redaction_keeps_columns_and_the_rest_of_the_text(docs_of):
     assert rows[8].text == "x" * 300_000 and rows[7].text == dict(docs)[7]
 
 
+def candidates(text):
+    return sorted((kind, m.start(), m.end()) for kind, pattern in pii.GENERATORS.items() for m in re.finditer(pattern, text))
+
+
+GENERATED = [
+    "password: correcthorse", "the Token = abcdefghijkl", "key ABCDEFGHIJKLMNOPQRST here", "abcdefabcdefabcdefabcdef", "john at example (dot) com",
+    "john at example [dot] com", "JOHN AT EXAMPLE {DOT} COM", "john (at) example dot com", "john[at]example[dot]co[dot]uk", "ring 555 123 4567 now", "nothing at all", "dot",
+]
+
+
+def test_generators_are_tried_wherever_they_match(docs_of):
+    docs = list(enumerate(GENERATED))
+    rows = pii.with_candidates(pii.with_base(docs_of(docs).select("doc_id", "text"))).select("doc_id", "_more").collect()
+    assert {row.doc_id: sorted((x.kind, x.start, x.end) for x in row._more) for row in rows} == {i: candidates(text) for i, text in docs}
+    assert all(candidates(text) for text in GENERATED[:10])
+
+
 def test_private_data_of_an_empty_table(docs_of):
     assert pii.redacted(docs_of([])).collect() == []
 
