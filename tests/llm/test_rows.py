@@ -159,6 +159,17 @@ def test_generators_are_tried_wherever_they_match(docs_of):
     assert all(candidates(text) for text in GENERATED[:10])
 
 
+def test_long_secrets_and_those_that_hold_a_base_span_go_whole(docs_of, monkeypatch):
+    draw = random.Random(8)
+    some = lambda letters, n: "".join(draw.choice(letters) for _ in range(n))
+    held = [f"token={some('abcXYZ019._-', 603)}", f'api_key: "{some("abcdef0123456789", 3000)}"', some("0123456789abcdef", 200), some("ABCXYZ019", 60), "password=ab12@x.y!rest", "pwd=+49 30 1234567"]
+    docs = [(i, f"before {text} after") for i, text in enumerate(held)]
+    monkeypatch.setattr(pii, "learned", lambda docs: pii.Scorer([], 0.0))  # all candidates pass
+    rows = {row.doc_id: row.text for row in pii.redacted(docs_of(docs)).collect()}
+    assert [rows[i] for i in range(5)] == ["before [secret] after"] * 5
+    assert rows[5] == "before pwd=[phone] after"
+
+
 def test_private_data_of_an_empty_table(docs_of):
     assert pii.redacted(docs_of([])).collect() == []
 
