@@ -13,6 +13,7 @@ from timberline.llm.topk import op6_topk
 from timberline.llm.toxicity import op8_toxicity
 from timberline.llm.urls import op9_urls
 from timberline.llm.warc import op10_warc
+from timberline.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_sharding": op1_sharding,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_warc": op10_warc,
+    "op11_whitening": op11_whitening,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
