@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from timberline.llm import vectors, whitening
+from timberline.llm import negatives, vectors, whitening
 
 # --- whitening
 
@@ -99,3 +99,80 @@ def test_sums_that_do_not_fit_raise():
     with pytest.raises(OverflowError):
         whitening.deviations(np.array([[1 << 61, 1 << 61]], dtype=np.int64))
     assert whitening.deviations(np.array([[3_000_000_000, 1]], dtype=np.int64)).tolist() == [9 * 10**18 + 1]
+
+
+# --- hard negatives
+
+
+def labelled(count, seed, width=8, spread=1.0):
+    draw = random.Random(seed)
+    centres = [[draw.gauss(0, 1) for _ in range(width)] for _ in range(4)]
+    rows = []
+    for i in range(count):
+        centre = centres[0 if draw.random() < 0.4 else draw.randrange(4)]
+        rows.append((i, [c + draw.gauss(0, spread) for c in centre], draw.choice([0, 0, 0, 1, 2, 9])))
+    return rows
+
+
+ODD_VECTORS = [
+    (900, None, 1), (1000, [1.0] * 8, None), (1100, [], 1), (1200, [1.0, None] + [0.0] * 6, 1), (1300, [math.nan] * 8, 1),
+    (None, [1.0] * 8, 1), (1400, [0.0] * 8, 1), (1500, [1.0, 2.0], 0), (1501, [1.0, 2.5], 0), (1502, [0.5, 1.5], 1),
+    (1600, [0.5] * 8, 0), (1600, [0.5] * 8, 0), (1601, [0.5] * 8, 0), (1602, [0.4] * 8, 1), (1602, [0.4] * 8, 1), (1603, [0.4] * 8, 2),
+    (1700, [3.0] * 3, 77), (1800, [-1.0] * 8, 5), (1801, [1.0] * 8, 5), (2100, [0.25] * 8, 9), (2101, [0.25] * 8, 0),
+]
+
+
+def brute_negatives(rows, step, positives, negatives_):
+    good = []
+    for i, v, label in rows:
+        if i is not None and label is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            good.append((i, (label + 1) % 10 if i % 7 == 0 else label, [math.floor(256 * x) for x in v]))
+    out = []
+    for a, (anchor, label, v) in enumerate(good):
+        if anchor % step:
+            continue
+        scored = [(-sum(x * y for x, y in zip(v, w)), i, own == label) for b, (i, own, w) in enumerate(good) if b != a and len(w) == len(v)]
+        for score, i, _ in sorted(x for x in scored if x[2])[:positives]:
+            inside = sorted(x for x in scored if not x[2] and -30 * score <= -100 * x[0] <= -90 * score)
+            out += [(anchor, i, rank + 1, j, -score, -other) for rank, (other, j, _) in enumerate(inside[:negatives_])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("shard_rows,block_rows,part_shards,step", [(4096, 8192, 16, 8), (13, 3, 2, 3)])
+def test_hard_negatives(spark, monkeypatch, shard_rows, block_rows, part_shards, step):
+    for name, value in (("SHARD_ROWS", shard_rows), ("BLOCK_ROWS", block_rows), ("PART_SHARDS", part_shards), ("STEP", step), ("TILE_ROWS", 5)):
+        monkeypatch.setattr(negatives, name, value)
+    rows = labelled(400, 5) + ODD_VECTORS
+    table = spark.createDataFrame([(*row, "x", "y") for row in rows], "vec_id long, embedding array<double>, label int, rank string, request string")
+    got = negatives.hard_negatives(table.repartition(4), 20, 5, 10)
+    want = brute_negatives(rows, 20, 5, 10)
+    assert len(want) > 500
+    assert sorted(map(tuple, got.collect())) == want
+    assert [kind for _, kind in got.dtypes] == ["bigint", "bigint", "int", "bigint", "bigint", "bigint"]
+
+
+def test_hard_negatives_of_few_rows(spark):
+    schema = "vec_id long, embedding array<float>, label int"
+    for rows in ([], [(100, [1.0], 1)], [(100, [1.0], 1), (101, [1.0], 1)], [(100, [1.0], 1), (101, [0.5], 2)]):
+        assert negatives.hard_negatives(spark.createDataFrame(rows, schema)).collect() == []
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10_000), st.floats(-0.5, 1), st.integers(1, 20))
+def test_index_loses_no_pair(seed, part, width):
+    draw = np.random.default_rng(seed)
+    vectors_, anchors = (np.floor(256 * draw.normal(size=(n, width)) * draw.exponential(1, width) ** 2) for n in (60, 7))
+    norms = np.sqrt((anchors**2).sum(1))
+    thresholds = np.floor(part * norms * np.sqrt((vectors_**2).sum(1)).max())
+    index = negatives.Index(vectors_, float(thresholds.min()), float(norms.max()))
+    left, right, found = index.scores(anchors, thresholds)
+    exact = anchors @ vectors_.T
+    assert (found == exact[left, right]).all()
+    assert {(i, j) for i, j in zip(*np.nonzero(exact >= thresholds[:, None]))} <= set(zip(left.tolist(), right.tolist()))
+    assert len(set(zip(left.tolist(), right.tolist()))) == left.size
+
+
+def test_index_omits_what_norms_cover():
+    vectors_ = np.array([[100.0, 0, 0, 0], [0.0, 1, 0, 0], [60.0, 60, 1, 1]])
+    index = negatives.Index(vectors_, 5_000.0, 100.0)
+    assert index.listed.tolist() == [1, 0, 2]

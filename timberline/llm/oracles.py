@@ -53,8 +53,32 @@ scored AS (
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
 """
 
+NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS line, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.line AS anchor, a.vec_id AS anchor_id, c.line, c.vec_id, a.label = c.label AS alike,
+    CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.line <> a.line AND len(a.e) = len(c.e)
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place FROM scored WHERE alike
+), negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.line ORDER BY n.score DESC, n.vec_id) AS place
+  FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.alike
+    AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+  WHERE p.place <= 5
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE place <= 10
+"""
+
 ORACLES = {
     "op4_decontamination": DECONTAMINATION,
     "op5_substrings": SUBSTRINGS,
     "op6_topk": TOP_K,
+    "op12_negatives": NEGATIVES,
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from timberline.llm.decontamination import op4_decontamination
+from timberline.llm.mixing import op13_mixing
 from timberline.llm.neardup import op2_neardup
+from timberline.llm.negatives import op12_negatives
 from timberline.llm.oracles import ORACLES
 from timberline.llm.packing import op3_packing
 from timberline.llm.pii import op7_pii
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_urls": op9_urls,
     "op10_warc": op10_warc,
     "op11_whitening": op11_whitening,
+    "op12_negatives": op12_negatives,
+    "op13_mixing": op13_mixing,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
