@@ -56,10 +56,10 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 NEGATIVES = """
 WITH v AS (
   SELECT row_number() OVER () AS line, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT a.line AS anchor, a.vec_id AS anchor_id, c.line, c.vec_id, a.label = c.label AS alike,
     CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
