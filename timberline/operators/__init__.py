@@ -1 +1 @@
-"""Operators: DataFrames in, DataFrames out. None of them runs a job or brings rows to the driver."""
+"""Operators: DataFrames in, DataFrames out. None brings rows to the driver; those that build on ``running`` write a table."""

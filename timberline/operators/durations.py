@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from timberline.operators.small import made_small
+
 HISTOGRAM_BINS = 30
 # Usual settings of a Gaussian density curve: points of the curve, and bandwidths it runs past the data.
 DENSITY_POINTS = 200
@@ -24,7 +26,7 @@ def durations(times: DataFrame, cluster: str | DataFrame | None = None) -> DataF
     ``usage.largest``, which is small enough to be broadcast.
     """
     if isinstance(cluster, DataFrame):
-        times = times.join(F.broadcast(cluster.select("cluster_id").limit(1)), "cluster_id")
+        times = times.join(made_small(cluster.select("cluster_id").limit(1), 1), "cluster_id")
     elif cluster is not None:
         times = times.filter(F.col("cluster_id") == cluster)
     seconds = (F.col("end_time") - F.col("start_time")).cast("interval second").cast("bigint")
@@ -70,10 +72,9 @@ def histogram(d: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     domain = d.sparkSession.range(1, bins + 1, 1, numPartitions=1).select(
         F.col("id").cast("int").alias("bin"), b.alias("b")
     )
-    # The broadcast side has at most one row per bin.
     return (
         domain.filter("b.n > 0")
-        .join(F.broadcast(counted), "bin", "left")
+        .join(made_small(counted, bins), "bin", "left")
         .select(
             "bin",
             (lo + (F.col("bin") - 1) * width).alias("bin_from"),

@@ -14,6 +14,9 @@ from pyspark.sql.window import Window
 from timberline.functions import parse
 from timberline.functions.text import LEVEL_HEADS, LEVEL_LINE, count_text
 from timberline.functions.parse import LEVELS
+from timberline.operators.running import sums_before
+from timberline.operators.small import made_small
+from timberline.session import materialize
 
 
 def groups(lines: DataFrame, words: Sequence[str] = LEVELS, header_only: bool = False) -> DataFrame:
@@ -41,11 +44,11 @@ def in_order(counted: DataFrame) -> DataFrame:
 def counts_of(grouped: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
     """``ord, log_level, count`` with a zero for each level that has no line.
 
-    The grouped side is broadcast: it holds one row per word and one for ``""``, whatever the input.
+    The grouped side holds one row per word and one for ``""``, whatever the input.
     """
     return (
         level_domain(grouped, words)
-        .join(F.broadcast(grouped), "log_level", "left")
+        .join(made_small(grouped, len(words) + 1), "log_level", "left")
         .select("ord", "log_level", F.coalesce("count", F.lit(0).cast("bigint")).alias("count"))
     )
 
@@ -161,9 +164,11 @@ def sample_by_text(
     """``log_entry, log_level`` of n lines that have a level; the same ones from any layout, without a key column.
 
     Lines are told apart by their place among the lines of their file and of a group of texts, in the order of the
-    texts. The first pass only counts these groups; places are drawn by arithmetic on the counts. The second pass reads
-    the lines again and puts in order those of the n groups drawn at most. Equal lines have neighbouring places, so
-    each copy has a chance of its own. No text of another group is shuffled.
+    texts. The first pass only counts these groups; places are drawn by arithmetic on the counts and written, n rows
+    at most. The second pass reads the lines again, counts equal texts of the groups drawn, sums up the counts
+    in the order of the texts and takes the texts in whose range a drawn place lies. Equal lines have neighbouring
+    places, so each copy has a chance of its own. Texts are shuffled once each for a task, and those of other groups not at all;
+    a group of any size is summed up in parts.
     """
     group = F.substring(F.md5("value"), 1, TEXT_GROUP_DIGITS).alias("text_group")
     level = parse.level("value", words, header_only=header_only).alias("log_level")
@@ -177,15 +182,14 @@ def sample_by_text(
         .select("file_path", "text_group", F.explode(F.sequence("first", last)).alias("number"))
     )
     key = F.concat_ws(":", F.lit(str(seed)), "file_path", "text_group", F.col("number").cast("string"))
-    drawn = numbered.orderBy(F.md5(key), "file_path", "text_group", "number").limit(n)
-    # n rows at most.
-    drawn = F.broadcast(drawn)
-    groups_drawn = F.broadcast(drawn.select("file_path", "text_group").distinct())
-    place = F.row_number().over(Window.partitionBy("file_path", "text_group").orderBy("value")) - 1
-    own = found.join(groups_drawn, ["file_path", "text_group"], "left_semi").filter(F.col("log_level") != "")
+    drawn = materialize(numbered.orderBy(F.md5(key), "file_path", "text_group", "number").limit(n), "places")
+    keys = ["file_path", "text_group"]
+    own = found.join(drawn.select(*keys).distinct(), keys, "left_semi").filter(F.col("log_level") != "")
+    texts = own.groupBy(*keys, "value", "log_level").agg(F.count("*").alias("copies"))
+    placed = sums_before(texts, keys, ["value"], "copies", "before", "texts")
     return (
-        own.withColumn("number", place.cast("bigint"))
-        .join(drawn, ["file_path", "text_group", "number"])
+        placed.join(drawn, keys)
+        .filter((F.col("number") >= F.col("before")) & (F.col("number") < F.col("before") + F.col("copies")))
         .select(F.col("value").alias("log_entry"), "log_level")
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from timberline.functions import parse
 from timberline.functions.parse import LEVELS
+from timberline.operators import frequent
 
 # Shapes of the messages.
 EXECUTOR_REQUEST = r"Will request \d+ executor containers, each with \d+ cores and \d+ MB memory(?: including \d+ MB overhead)?"
@@ -61,6 +62,11 @@ def components(lines: DataFrame, n: int = 20, words: Sequence[str] = LEVELS) ->
     )
 
 
+def frequent_components(lines: DataFrame, n: int = 20, words: Sequence[str] = LEVELS) -> DataFrame:
+    """``components`` for any number of different ones, as where components are free text; see ``frequent.top``."""
+    return frequent.top(lines, parse.component("value", words), "component", n)
+
+
 def error_lines(lines: DataFrame, word: str = "ERROR") -> DataFrame:
     """The lines that hold the word anywhere."""
     return lines.filter(F.col("value").contains(word)).select("file_path", "value")
@@ -189,17 +195,19 @@ def memory_capacity(lines: DataFrame) -> DataFrame:
     )
 
 
-def input_splits(lines: DataFrame) -> DataFrame:
-    """``path, splits, bytes`` read per input file."""
-    path, length = (F.regexp_extract("value", INPUT_SPLIT, i) for i in (1, 3))
-    return (
-        _holding(lines, "Input split: ", INPUT_SPLIT)
-        .select(path.alias("path"), length.try_cast("bigint").alias("length"))
-        .groupBy("path")
-        .agg(F.count("*").alias("splits"), F.sum("length").alias("bytes"))
+def split_reads(lines: DataFrame) -> DataFrame:
+    """``path, offset, length``, one row per split that was read."""
+    path, offset, length = (F.regexp_extract("value", INPUT_SPLIT, i) for i in (1, 2, 3))
+    return _holding(lines, "Input split: ", INPUT_SPLIT).select(
+        path.alias("path"), offset.try_cast("bigint").alias("offset"), length.try_cast("bigint").alias("length")
     )
 
 
+def input_splits(lines: DataFrame) -> DataFrame:
+    """``path, splits, bytes`` read per input file; a split that is read again counts again (see ``sweep.coverage``)."""
+    return split_reads(lines).groupBy("path").agg(F.count("*").alias("splits"), F.sum("length").alias("bytes"))
+
+
 def broadcast_reads(lines: DataFrame) -> DataFrame:
     """``application_id, broadcast_id, reads``: reads of broadcast variables that were started."""
     number = F.regexp_extract("value", BROADCAST_READ, 1).try_cast("bigint")

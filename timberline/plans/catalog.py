@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timberline import sinks, sources
 from timberline.functions import parse
-from timberline.operators import basics, daily, durations, levels, messages, usage
+from timberline.operators import basics, daily, durations, entries, levels, messages, states, sweep, usage
 from timberline.plans import standins
 from timberline.session import scratch_path
 
@@ -66,12 +67,6 @@ def drawn_at_random(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_repeats(lines: DataFrame) -> DataFrame:
-    """Lines of few different texts in each file."""
-    word = F.coalesce(F.nullif(parse.level("value"), F.lit("")), F.lit("none"))
-    return lines.select("file_path", F.concat(F.lit("line of "), word).alias("value"))
-
-
 def text_scan_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = standins.log_folder(spark, sf_dir, by=("app",))
     return levels.counts(sources.read_logs(spark, folder, standins.FOLDER_LOGS))
@@ -83,6 +78,18 @@ def text_scan_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.pad(sources.app_catalog(sources.file_inventory(spark, folder)), usage.timeline(lines))
 
 
+def traced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entries.entries(sources.read_log_splits(spark, standins.trace_folder(spark, sf_dir), standins.TRACE_LOGS))
+
+
+def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return traced(spark, sf_dir).select(parse.container_id("file_path").alias("container_id"), "line_no", *entries.HEADER, "value")
+
+
+def task_concurrency(lines: DataFrame) -> DataFrame:
+    return sweep.concurrency(messages.task_times(messages.task_events(lines)))
+
+
 def app_file_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.app_bytes(sources.file_inventory(spark, standins.log_folder(spark, sf_dir)))
 
@@ -115,6 +122,20 @@ def year_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_month(sources.read_trips_below(spark, standins.trip_folder(spark, sf_dir), YEAR))
 
 
+def daily_from_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily summary from states that were made month by month."""
+    root = standins.trip_folder(spark, sf_dir)
+    paths = sources.month_paths(root, YEAR, range(1, 13), standins.FOLDER_MONTH)
+    parts = [states.daily_states(sources.read_trips(spark, [path], base_path=root)) for path in paths]
+    return rounded(daily.by_day(states.days_of(states.merged_days(reduce(DataFrame.unionByName, parts)), YEAR)))
+
+
+def counts_of_halves(lines: DataFrame) -> DataFrame:
+    """Applications per cluster from the bitmaps of two halves of the lines."""
+    halves = [states.application_bitmaps(catalog_of(lines.where(F.col("event_id") % 2 == half))) for half in (0, 1)]
+    return states.counts_of(states.merged_bitmaps(halves[0].unionByName(halves[1])))
+
+
 def even_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return basics.even_doubled(standins.table(spark, sf_dir, "events"), "event_id")
 
@@ -138,9 +159,11 @@ QUERIES: dict[str, Query] = {
     "log_level_report": on_logs(levels.report),
     "log_sample": on_logs(lambda lines: levels.sample(lines, key="event_id")),
     "log_sample_rand": on_logs(drawn_at_random),
-    "log_sample_by_text": on_logs(lambda lines: levels.sample_by_text(with_repeats(lines))),
+    "log_sample_by_text": on_logs(levels.sample_by_text),
     "log_header_levels": on_logs(lambda lines: levels.counts(lines, header_only=True)),
     "log_header": on_logs(parse.with_header),
+    "log_entries": log_entries,
+    "log_entry_sizes": lambda spark, sf_dir: entries.entry_sizes(traced(spark, sf_dir)),
     "log_level_groups": on_logs(levels.groups),
     "level_occurrences": on_logs(levels.occurrences),
     # files and containers
@@ -160,6 +183,7 @@ QUERIES: dict[str, Query] = {
     "app_timeline_padded": on_logs(padded),
     "app_timeline_text": on_logs(lambda lines: usage.as_text(padded(lines))),
     "cluster_counts": on_logs(counts_of),
+    "cluster_counts_merged": on_logs(counts_of_halves),
     "cluster_summary": on_logs(lambda lines: usage.summary_of(usage.overview(lines))),
     "cluster_stats": on_logs(lambda lines: usage.stats(counts_of(lines))),
     "cluster_report": on_logs(lambda lines: usage.report(counts_of(lines))),
@@ -172,6 +196,7 @@ QUERIES: dict[str, Query] = {
     "duration_density": on_logs(lambda lines: durations.density(largest_durations(lines))),
     # messages
     "component_top20": on_logs(messages.components),
+    "component_frequent": on_logs(messages.frequent_components),
     "error_lines": on_logs(messages.error_lines),
     "error_counts": on_logs(messages.error_counts),
     "resource_requests": on_logs(messages.resource_requests),
@@ -181,15 +206,19 @@ QUERIES: dict[str, Query] = {
     "task_time_by_app": on_logs(
         lambda lines: messages.task_time_by_app(messages.task_times(messages.task_events(lines)))
     ),
+    "task_concurrency": on_logs(task_concurrency),
+    "task_peaks": on_logs(lambda lines: sweep.peaks(task_concurrency(lines))),
     "python_times": on_logs(messages.python_times),
     "python_times_first20": on_logs(lambda lines: messages.first_python_times(messages.python_times(lines))),
     "stored_blocks": on_logs(messages.stored_blocks),
     "memory_blocks": on_logs(messages.memory_blocks),
     "memory_capacity": on_logs(messages.memory_capacity),
     "input_splits": on_logs(messages.input_splits),
+    "input_coverage": on_logs(lambda lines: sweep.coverage(messages.split_reads(lines))),
     "broadcast_reads": on_logs(messages.broadcast_reads),
     # trips
     "daily_summary": on_trips(lambda trips: daily.daily_summary(trips, YEAR)),
+    "daily_from_months": daily_from_months,
     "daily_top20": on_trips(lambda trips: daily.latest(daily.daily_summary(trips, YEAR))),
     "daily_totals": on_trips(daily_totals),
     "year_filter_count": on_trips(lambda trips: daily.year_count(trips, YEAR)),

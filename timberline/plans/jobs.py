@@ -8,12 +8,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from timberline import sinks, sources
 from timberline.functions.parse import LEVELS
-from timberline.operators import daily, durations, levels, usage
+from timberline.operators import daily, durations, levels, states, usage
 from timberline.operators.daily import TLC, TripColumns
 from timberline.session import materialize
+from timberline.sources import manifest
 
 CHARTS = ("largest_cluster", "duration_histogram", "duration_density", "duration_ticks")
 
@@ -108,6 +110,55 @@ def daily_trips(
     sinks.write_csv(daily.daily_totals(summary), f"{output_dir}/daily_totals", mode)
 
 
+def update_usage(spark: SparkSession, input_dir: str, state_dir: str, glob: str = "*") -> int:
+    """Bring the overview of all applications up to date with the files below ``input_dir``; returns the number of files read.
+
+    Only files are read that the last version has not seen, or has seen with another length or time. Their rows are merged with
+    the stored ones: bounds by the least and greatest time, so a file that has grown may be read again. What
+    files that are gone have said stays. Without new files nothing is written.
+    """
+    version = manifest.latest(spark, state_dir)
+    stored = {name: spark.read.parquet(f"{manifest.version_path(state_dir, version)}/{name}") for name in ("files", "overview")} if version else {}
+    files = materialize(manifest.listing(spark, input_dir, glob), "files")
+    new = materialize(manifest.new_files(files, stored.get("files")), "new-files")
+    count = new.count()
+    if not count:
+        return 0
+    overviews = [stored["overview"]] if version else []
+    for paths in manifest.chunks(new):
+        lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file_path"), "value")
+        overviews.append(usage.overview(lines))
+    # Applications own files without lines as well.
+    none = F.lit(None).cast("timestamp_ntz")
+    owners = sources.app_catalog(new).select("*", none.alias("start_time"), none.alias("end_time"), F.lit(True).alias("owned"), F.lit(False).alias("named"))
+    everything = owners
+    for one in overviews:
+        everything = everything.unionByName(one)
+    target = manifest.version_path(state_dir, version + 1)
+    states.merged_overviews(everything).write.mode("overwrite").parquet(f"{target}/overview")
+    files.write.mode("overwrite").parquet(f"{target}/files")
+    manifest.complete(spark, state_dir, version + 1)
+    return count
+
+
+def usage_of(spark: SparkSession, state_dir: str) -> DataFrame:
+    """The overview of the last complete version; see ``usage.padded_of``, ``summary_of``, ``missing_of`` and ``largest_of``."""
+    return spark.read.parquet(f"{manifest.version_path(state_dir, manifest.latest(spark, state_dir))}/overview")
+
+
+def add_trips(spark: SparkSession, paths: Iterable[str], state_dir: str, name: str, columns: TripColumns = TLC) -> None:
+    """Store the daily states of some trip files, for example of a month, under a name. The same name replaces them."""
+    states.daily_states(sources.read_trips(spark, paths), columns).write.mode("overwrite").parquet(f"{state_dir.rstrip('/')}/part={name}")
+
+
+def daily_from_states(spark: SparkSession, state_dir: str, output_dir: str, year: int, mode: str = "overwrite") -> None:
+    """Daily summary and totals from all stored states; no trip is read."""
+    _ready(spark, mode, output_dir, "daily_summary", "daily_totals")
+    summary = materialize(states.days_of(states.merged_days(spark.read.parquet(state_dir).drop("part")), year), "daily")
+    sinks.write_csv(daily.by_day(summary), f"{output_dir}/daily_summary", mode)
+    sinks.write_csv(daily.daily_totals(summary), f"{output_dir}/daily_totals", mode)
+
+
 def _ready(spark: SparkSession, mode: str, output_dir: str, *names: str) -> None:
     if mode in ("error", "errorifexists"):
         sinks.refuse_existing(spark, [f"{output_dir}/{name}" for name in names])

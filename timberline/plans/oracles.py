@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from timberline.plans.standins import TYPED
+from timberline.plans.standins import TRACED, TYPED
 
 LOGS = TYPED.format(events="events").rstrip()
 
@@ -44,6 +44,34 @@ tt AS (SELECT *, date_diff('second', start_time, finish_time) AS seconds FROM (
          SELECT application_id, tid, min(time) FILTER (WHERE kind = 'Running') AS start_time,
                 max(time) FILTER (WHERE kind = 'Finished') AS finish_time FROM te GROUP BY 1, 2))"""
 
+SWEEP = TASKS + """, ends AS (SELECT application_id, start_time AS time, 1 AS step FROM tt WHERE start_time < finish_time
+         UNION ALL SELECT application_id, finish_time, -1 FROM tt WHERE start_time < finish_time),
+sw AS (SELECT * FROM (
+         SELECT application_id, time AS time_from, lead(time) OVER w AS time_to, CAST(sum(step) OVER w AS BIGINT) AS running
+         FROM (SELECT application_id, time, sum(step) AS step FROM ends GROUP BY 1, 2)
+         WINDOW w AS (PARTITION BY application_id ORDER BY time)) WHERE time_to IS NOT NULL)"""
+
+TRACES = TRACED.format(events="events").rstrip() + """, x AS (
+  SELECT container_id, event_id, i, value, CASE WHEN i = 1 AND event_type <> 'view' THEN ts_text END AS ts_text,
+    CASE WHEN i = 1 AND event_type <> 'view' THEN lvl END AS level, CASE WHEN i = 1 AND event_type <> 'view' THEN comp END AS component
+  FROM (SELECT container_id, event_id, event_type, ts_text, lvl, comp, unnest(string_split(entry, chr(10))) AS value,
+          generate_subscripts(string_split(entry, chr(10)), 1) AS i FROM t)
+), y AS (
+  SELECT *, row_number() OVER (PARTITION BY container_id ORDER BY event_id, i) - 1 AS place FROM x
+), z AS (
+  SELECT container_id, value, place, CASE WHEN ts_text IS NOT NULL THEN place END AS head FROM y
+), h AS (
+  SELECT container_id, value, place, last_value(head IGNORE NULLS) OVER (PARTITION BY container_id ORDER BY place) AS head FROM z
+), le AS (
+  SELECT h.container_id, h.place - coalesce(h.head, 0) AS line_no, y.ts_text, y.level, y.component, h.value
+  FROM h LEFT JOIN y ON y.container_id = h.container_id AND y.place = h.head
+)"""
+
+# Bytes of a range that splits cover at least once: what lies behind the furthest end so far.
+COVERAGE = """, sp AS (SELECT concat('hdfs://10.0.0.1:9000/in/part', CAST(event_id % 4 AS VARCHAR), '.txt') AS path,
+       event_id * 100 AS start, user_id * 7 AS length FROM l WHERE event_type = 'error'),
+rc AS (SELECT *, max(start + length) OVER (PARTITION BY path ORDER BY start, length ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM sp)"""
+
 TIMES = """, py AS (SELECT application_id, container_id, event_id AS total, user_id - 75 AS boot,
        event_id - user_id + 72 AS init, CAST(3 AS BIGINT) AS finish FROM l WHERE event_type = 'click' AND event_id % 3 = 2)"""
 
@@ -107,15 +135,16 @@ ORACLES: dict[str, str] = {
         ORDER BY md5('42:' || CAST(event_id AS VARCHAR)), event_id LIMIT 10""",
     "log_sample_rand": LOGS + """ SELECT least(count(lvl), 10) AS drawn, least(count(lvl), 10) AS with_level,
         least(count(lvl), 10) AS found FROM l""",
-    "log_sample_by_text": LOGS + """, r AS (SELECT file_path, coalesce(lvl, 'none') AS word, lvl FROM l),
-        t AS (SELECT file_path, concat('line of ', word) AS value, lvl FROM r WHERE lvl IS NOT NULL),
-        k AS (SELECT *, substr(md5(value), 1, 2) AS grp,
-              row_number() OVER (PARTITION BY file_path, substr(md5(value), 1, 2) ORDER BY value) - 1 AS number FROM t)
+    "log_sample_by_text": LOGS + """, k AS (SELECT *, substr(md5(value), 1, 2) AS grp,
+              row_number() OVER (PARTITION BY file_path, substr(md5(value), 1, 2) ORDER BY value) - 1 AS number FROM l WHERE lvl IS NOT NULL)
         SELECT value AS log_entry, lvl AS log_level FROM k
         ORDER BY md5(concat('42:', file_path, ':', grp, ':', CAST(number AS VARCHAR))), file_path, grp, number LIMIT 10""",
     "log_header_levels": LOGS + GROUPED + ' SELECT log_level, n AS "count" FROM c',
     "log_header": LOGS + """ SELECT file_path, CASE WHEN event_type = 'view' THEN '' ELSE ts_text END AS ts_text,
         coalesce(lvl, '') AS level, coalesce(comp, '') AS component, value AS message FROM l""",
+    "log_entries": TRACES + " SELECT * FROM le",
+    "log_entry_sizes": TRACES + """ SELECT level, component, count(*) FILTER (WHERE line_no = 0) AS entries, count(*) AS lines,
+        max(line_no) + 1 AS most_lines, CAST(sum(strlen(value)) AS BIGINT) AS bytes FROM le WHERE ts_text IS NOT NULL GROUP BY 1, 2""",
     "log_level_groups": LOGS + """ SELECT coalesce(lvl, '') AS log_level, count(*) AS "count" FROM l GROUP BY 1""",
     "level_occurrences": LOGS + """ SELECT log_level, count(*) AS "count" FROM (
         SELECT lvl AS log_level FROM l WHERE lvl IS NOT NULL
@@ -150,6 +179,7 @@ ORACLES: dict[str, str] = {
         coalesce(strftime(start_time, '%Y-%m-%d %H:%M:%S'), '') AS start_time,
         coalesce(strftime(end_time, '%Y-%m-%d %H:%M:%S'), '') AS end_time FROM pad""",
     "cluster_counts": LOGS + USAGE + " SELECT * FROM cc",
+    "cluster_counts_merged": LOGS + USAGE + " SELECT * FROM cc",
     "cluster_summary": LOGS + USAGE + """ SELECT cc.cluster_id, num_applications, cluster_first_app, cluster_last_app
         FROM cc LEFT JOIN cb ON cc.cluster_id = cb.cluster_id""",
     "cluster_stats": LOGS + USAGE + """ SELECT count(*) AS clusters, CAST(coalesce(sum(num_applications), 0) AS BIGINT) AS applications,
@@ -166,6 +196,8 @@ ORACLES: dict[str, str] = {
     # messages
     "component_top20": LOGS + """ SELECT coalesce(comp, '') AS component, count(*) AS "count" FROM l GROUP BY 1
         ORDER BY 2 DESC, 1 LIMIT 20""",
+    "component_frequent": LOGS + """ SELECT coalesce(comp, '') AS component, count(*) AS "count" FROM l GROUP BY 1
+        ORDER BY 2 DESC, 1 LIMIT 20""",
     "error_lines": LOGS + " SELECT file_path, value FROM l WHERE lvl = 'ERROR'",
     "error_counts": LOGS + """ SELECT cluster_id, count(*) AS "count" FROM l WHERE lvl = 'ERROR' GROUP BY 1""",
     "resource_requests": LOGS + """ SELECT application_id, count(*) AS requests, CAST(sum(1 + user_id % 16) AS BIGINT) AS executors,
@@ -178,6 +210,9 @@ ORACLES: dict[str, str] = {
     "task_time_by_app": LOGS + TASKS + """ SELECT application_id, count(*) AS tasks, count(*) FILTER (WHERE seconds IS NULL) AS untimed,
         count(*) FILTER (WHERE seconds < 0) AS negative, round(avg(CASE WHEN seconds >= 0 THEN seconds END), 6) AS mean_seconds
         FROM tt GROUP BY 1""",
+    "task_concurrency": LOGS + SWEEP + " SELECT * FROM sw",
+    "task_peaks": LOGS + SWEEP + """ SELECT application_id, max(running) AS peak, arg_min(time_from, (-running, time_from)) AS peak_from,
+        CAST(coalesce(sum(CASE WHEN running > 0 THEN date_diff('second', time_from, time_to) END), 0) AS BIGINT) AS busy_seconds FROM sw GROUP BY 1""",
     "python_times": LOGS + TIMES + " SELECT * FROM py",
     "python_times_first20": LOGS + TIMES + " SELECT * FROM py ORDER BY ALL LIMIT 20",
     "stored_blocks": LOGS + BLOCKS + " SELECT * FROM sb",
@@ -185,12 +220,15 @@ ORACLES: dict[str, str] = {
         min(free_bytes) AS min_free_bytes FROM sb GROUP BY 1, 2""",
     "input_splits": LOGS + """ SELECT concat('hdfs://10.0.0.1:9000/in/part', CAST(event_id % 4 AS VARCHAR), '.txt') AS path,
         count(*) AS splits, CAST(sum(user_id * 7) AS BIGINT) AS bytes FROM l WHERE event_type = 'error' GROUP BY 1""",
+    "input_coverage": LOGS + COVERAGE + """ SELECT path, CAST(count(*) AS BIGINT) AS splits, CAST(sum(length) AS BIGINT) AS bytes,
+        CAST(sum(greatest(start + length - greatest(start, coalesce(reached, 0)), 0)) AS BIGINT) AS covered FROM rc GROUP BY 1""",
     "broadcast_reads": LOGS + """ SELECT application_id, event_id % 20 AS broadcast_id, count(*) AS reads
         FROM l WHERE event_type = 'purchase' AND event_id % 3 = 0 AND event_id % 13 <> 5 GROUP BY 1, 2""",
     "memory_capacity": LOGS + """ SELECT application_id, container_id, CAST((1.5 + user_id % 900) * 1048576 AS BIGINT) AS capacity_bytes
         FROM l WHERE event_type = 'purchase' AND event_id % 13 = 5""",
     # trips
     "daily_summary": DAILY + " SELECT * FROM daily",
+    "daily_from_months": DAILY + " SELECT * FROM daily",
     "daily_top20": DAILY + " SELECT * FROM daily ORDER BY dt_year DESC, dt_month DESC, dt_day DESC LIMIT 20",
     "daily_totals": DAILY + """ SELECT count(*) AS days, strftime(min(make_date(dt_year, dt_month, dt_day)), '%Y-%m-%d') AS first_day,
         strftime(max(make_date(dt_year, dt_month, dt_day)), '%Y-%m-%d') AS last_day, CAST(sum(num_trips) AS BIGINT) AS num_trips,

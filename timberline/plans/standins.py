@@ -59,6 +59,17 @@ WITH e AS (
 """
 
 
+# Lines with what may follow a line with an error: the text of an exception and its frames, in lines of their own.
+TRACED = TYPED + """, t AS (
+  SELECT *, concat(value,
+    CASE WHEN lvl = 'ERROR' AND event_id % 4 > 0 THEN concat(chr(10), 'java.io.IOException: INFO of ', CAST(event_id AS STRING)) ELSE '' END,
+    CASE WHEN lvl = 'ERROR' AND event_id % 4 > 1 THEN concat(chr(10), chr(9), 'at x.Reader.read(', CAST(user_id AS STRING), ')') ELSE '' END,
+    CASE WHEN lvl = 'ERROR' AND event_id % 4 > 2 THEN concat(chr(10), chr(9), '... ', CAST(event_id % 9 AS STRING), ' more') ELSE '' END) AS entry
+  FROM l
+)
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -107,7 +118,19 @@ def _write_logs(spark: SparkSession, sf_dir: str, by: tuple[str, ...], path: str
     )
 
 
-# Places of the log files in the folder above, by application alone.
+def trace_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The lines with traces as text files, one for each container, in the order of the events; returns the root folder."""
+
+    def write(path: str) -> None:
+        rows = spark.sql(TRACED + "SELECT event_id, entry AS value, container_id AS container FROM t", events=table(spark, sf_dir, "events"))
+        ordered = rows.repartition("container").sortWithinPartitions("container", "event_id")
+        ordered.select("value", "container").write.partitionBy("container").text(path)
+
+    return _once(spark, sf_dir, ("traces",), write)
+
+
+# Places of the log files in the folders above: by application alone, and by container.
+TRACE_LOGS = "container=*/*"
 FOLDER_LOGS = "app=application_*/*"
 
 

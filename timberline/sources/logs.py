@@ -21,6 +21,16 @@ def read_logs(spark: SparkSession, path: str, glob: str | None = CONTAINER_LOGS)
     return spark.read.text(location).select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
+def read_log_splits(spark: SparkSession, path: str, glob: str | None = CONTAINER_LOGS) -> DataFrame:
+    """``file_path, block, value`` as ``read_logs``, with the place in the file where the line's split starts.
+
+    A split is read by one task from start to end, so the lines of a split keep their order up to the next shuffle.
+    """
+    location = f"{path.rstrip('/')}/{glob}" if glob else path
+    split = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block")]
+    return spark.read.text(location).select(*split, "value")
+
+
 def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """``file_path, length, application_id, container_id`` of all files below ``path``.
 
