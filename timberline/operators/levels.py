@@ -203,7 +203,8 @@ def occurrences(lines: DataFrame, words: Sequence[str] = LEVELS) -> DataFrame:
 
     def found(word: str) -> Column:
         rest = F.replace(F.col("value"), F.lit(word), F.lit(""))
-        return F.sum(F.octet_length("value") - F.octet_length(rest)) / F.lit(len(word))
+        lost = F.when(F.col("value").contains(word), F.octet_length("value") - F.octet_length(rest))
+        return F.coalesce(F.sum(lost), F.lit(0)) / F.lit(len(word))
 
     one = lines.agg(*[found(word).cast("bigint").alias(word) for word in words])
     return one.unpivot([], list(words), "log_level", "count").filter("count > 0")

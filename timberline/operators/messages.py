@@ -142,6 +142,22 @@ def task_time_by_app(times: DataFrame) -> DataFrame:
     )
 
 
+def stage_spread(events: DataFrame) -> DataFrame:
+    """``application_id, stage, tasks, min_seconds, mean_seconds, max_seconds, skew`` over tasks with a known time.
+
+    ``skew`` is the longest time over the mean; null where all times are 0. A task counts in each stage that names it.
+    """
+    ends = {"start_time": F.min(F.when(F.col("kind") == "Running", F.col("time"))), "finish_time": F.max(F.when(F.col("kind") == "Finished", F.col("time")))}
+    times = events.groupBy("application_id", "stage", "tid").agg(*[end.alias(name) for name, end in ends.items()])
+    seconds = (F.col("finish_time") - F.col("start_time")).cast("interval second").cast("bigint")
+    known = times.withColumn("seconds", seconds).groupBy("application_id", "stage").agg(
+        F.count_if(F.col("seconds") >= 0).alias("tasks"),
+        *[how(F.when(F.col("seconds") >= 0, F.col("seconds"))).alias(f"{name}_seconds") for name, how in (("min", F.min), ("mean", F.avg), ("max", F.max))],
+    )
+    skew = F.when(F.col("mean_seconds") > 0, F.col("max_seconds") / F.col("mean_seconds"))
+    return known.filter("tasks > 0").withColumn("skew", skew)
+
+
 def python_times(lines: DataFrame) -> DataFrame:
     """``application_id, container_id, total, boot, init, finish`` in milliseconds, as logged."""
     names = ["total", "boot", "init", "finish"]

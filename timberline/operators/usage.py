@@ -35,8 +35,9 @@ def timeline(lines: DataFrame, by: str = "line") -> DataFrame:
         times = (
             lines.select("file_path", parse.ts("value").alias("time"))
             .groupBy("file_path")
-            .agg(F.min("time").alias("first"), F.max("time").alias("last"))
-            .select(parse.owner("file_path").alias("application_id"), "first", "last")
+            .agg(F.min("time").alias("first"), F.max("time").alias("last"), F.count("*").alias("n"))
+            # With a count in it, the test of the id is not moved below the grouping, where it would run once per line.
+            .select(F.when(F.col("n") > 0, parse.owner("file_path")).alias("application_id"), "first", "last")
             .filter(F.col("application_id") != "")
             .groupBy("application_id")
             .agg(F.min("first").alias("start_time"), F.max("last").alias("end_time"))

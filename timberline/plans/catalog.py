@@ -206,6 +206,7 @@ QUERIES: dict[str, Query] = {
     "task_time_by_app": on_logs(
         lambda lines: messages.task_time_by_app(messages.task_times(messages.task_events(lines)))
     ),
+    "stage_spread": on_logs(lambda lines: messages.stage_spread(messages.task_events(lines))),
     "task_concurrency": on_logs(task_concurrency),
     "task_peaks": on_logs(lambda lines: sweep.peaks(task_concurrency(lines))),
     "python_times": on_logs(messages.python_times),

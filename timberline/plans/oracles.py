@@ -210,6 +210,10 @@ ORACLES: dict[str, str] = {
     "task_time_by_app": LOGS + TASKS + """ SELECT application_id, count(*) AS tasks, count(*) FILTER (WHERE seconds IS NULL) AS untimed,
         count(*) FILTER (WHERE seconds < 0) AS negative, round(avg(CASE WHEN seconds >= 0 THEN seconds END), 6) AS mean_seconds
         FROM tt GROUP BY 1""",
+    "stage_spread": LOGS + TASKS + """ SELECT application_id, stage, count(*) AS tasks, min(seconds) AS min_seconds,
+        round(avg(seconds), 6) AS mean_seconds, max(seconds) AS max_seconds, round(max(seconds) / nullif(avg(seconds), 0), 6) AS skew FROM (
+          SELECT application_id, stage, tid, date_diff('second', min(time) FILTER (WHERE kind = 'Running'),
+            max(time) FILTER (WHERE kind = 'Finished')) AS seconds FROM te GROUP BY 1, 2, 3) WHERE seconds >= 0 GROUP BY 1, 2""",
     "task_concurrency": LOGS + SWEEP + " SELECT * FROM sw",
     "task_peaks": LOGS + SWEEP + """ SELECT application_id, max(running) AS peak, arg_min(time_from, (-running, time_from)) AS peak_from,
         CAST(coalesce(sum(CASE WHEN running > 0 THEN date_diff('second', time_from, time_to) END), 0) AS BIGINT) AS busy_seconds FROM sw GROUP BY 1""",
