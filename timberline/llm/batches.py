@@ -6,9 +6,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 # Bytes of text that are worked on at once; one longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 512 << 10
+# Bytes of an Arrow batch, about, that comes to a worker at once, and the setting that says so.
+BATCH_BYTES = 2 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets the session send texts to workers in batches of BATCH_BYTES, unless it was given a smaller size.
+
+    By default a batch has up to 10,000 rows and 64 MB, which a worker and the JVM beside it both hold.
+    """
+    given = spark.conf.get(ARROW_BYTES, "64MB")
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(given)
+    if size <= 0 or size > BATCH_BYTES:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

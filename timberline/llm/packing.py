@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timberline.llm.batches import pieces, ramps
+from timberline.llm.batches import pieces, ramps, small_batches
 from timberline.llm.order import numbered
 from timberline.session import materialize
 
@@ -34,9 +34,9 @@ END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-# Ids and words that a worker keeps; beyond that it starts anew, which costs time only.
-CACHED_IDS = 8 << 20
-CACHED_WORDS = 1_000_000
+# Ids and words that a worker keeps, some 30 MB; beyond that it starts anew, which costs time only.
+CACHED_IDS = 1 << 20
+CACHED_WORDS = 150_000
 # New words that are tokenised as one text.
 GROUP = 256
 
@@ -248,6 +248,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY
     A null or empty text is the end id alone. Rows without an id are packed as well, repeated rows each for
     itself; an empty table gives an empty result; other columns are ignored. ``with_ids`` adds the ids.
     """
+    small_batches(docs.sparkSession)
     found = materialize(tokenised(docs, capacity, vocabulary, with_ids), "pieces")
     found = found.withColumn("_less", capacity - F.col("length"))
     rows = numbered(found, ["_less", "doc_id", "piece"], "packed").drop("_less")
