@@ -23,17 +23,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from timberline.llm.batches import pieces
+from timberline.llm.batches import pieces, small_batches
 from timberline.llm.words import LOWER, PLAIN, Words
+from timberline.session import materialize
 
 FOLDS = 5
 # Labelled rows to learn from, about, at most; taken by the hash of the id.
 LABELLED_ROWS = 50_000
-# Weight of the prior, as a share of the words counted; z-score from which a word counts; words in the table at most,
-# by z-score.
+# Weight of the prior, as a share of the words counted; z-score from which a word counts.
 PRIOR_SHARE = 0.05
 LEAST_Z = 2.5
-TABLE_WORDS = 20_000
 DRIFT = 1.0
 # Karlin and Altschul's K, a factor on the number of places in which a segment may begin.
 PLACES = 0.1
@@ -170,14 +169,12 @@ def passages(model: Model, words: Words, data: np.ndarray, at: np.ndarray) -> It
 def learned(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model of the labelled documents; none where one of the classes has no document or no words."""
     rows = labelled(docs, labels)
-    counts = word_counts(rows).persist()
-    try:
-        totals = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
-        if not totals.toxic or not totals.other:
-            return None
-        table = weighed(counts, totals.toxic, totals.other).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "word").limit(TABLE_WORDS).toPandas()
-    finally:
-        counts.unpersist()
+    counts = materialize(word_counts(rows), "word-counts")
+    totals = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
+    if not totals.toxic or not totals.other:
+        return None
+    # All words that count: the labelled documents are bounded, and so are their words.
+    table = weighed(counts, totals.toxic, totals.other).where(F.col("z") >= LEAST_Z).toPandas()
     table = table.assign(word=table["word"].to_numpy(np.int64).view(np.uint64)).sort_values("word")
     scores = table["odds"].to_numpy(float) - DRIFT
     good = scores > 0
@@ -219,6 +216,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     lowest score; repeated rows are each scored; a document with several labels is toxic if one of them says so; where
     nothing can be learned all scores are 0; an empty table gives an empty result. Texts are scanned whole.
     """
+    small_batches(docs.sparkSession)
     model = learned(docs, labels)
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("passages", T.ArrayType(_PASSAGE))])
@@ -245,11 +243,12 @@ def predicted() -> Column:
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted to be toxic, with their columns."""
+    """The documents that are not predicted to be toxic, with their columns; nulls, empty texts and empty tables as in ``scored``."""
     return scored(docs, labels).where(predicted() == 0).select("row.*")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of each row of ``documents``; see ``scored`` for nulls, repeated rows and empty tables."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", predicted().alias("predicted"))
