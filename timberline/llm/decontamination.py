@@ -6,8 +6,9 @@ The join looks up each word of a document among the rarest words of the windows.
 the window would have to begin; it is dropped where the window would not lie inside of the document (bounds of
 position and length), then by the hash of the run, and what is left is compared word by word.
 
-The windows come in blocks of bounded size, each of which is sent to all tasks; a document meets one block after
-the other in the same task, so there is one scan and no shuffle of texts, however large the benchmark is.
+The windows come in blocks of bounded size, each of which is sent to all tasks. Texts are split and hashed once for a few
+blocks, and a document meets all of them in the same task, so there is one scan and no shuffle of texts, however large the
+benchmark is.
 """
 
 from __future__ import annotations
@@ -21,15 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from timberline.llm.batches import flat, pieces, ramps
+from timberline.llm.batches import flat, pieces, ramps, small_batches
 from timberline.llm.sketches import counted
 from timberline.llm.words import LOWER, PLAIN, Words
 
 WINDOW = 10
 # Cells of the table of word frequencies. Words that share a cell only seem more frequent.
 FREQUENCY_CELLS = 1 << 18
-# Bytes of item text in a block that is sent to the tasks.
+# Bytes of item text in a block that is sent to the tasks, and blocks that a worker holds at once.
 BLOCK_BYTES = 4 << 20
+PASS_BLOCKS = 4
 _FILTER_BITS = 20
 
 _BETWEEN = bytes(b if PLAIN[b] else 0x20 for b in LOWER.tolist())
@@ -52,6 +54,15 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     return counted(docs.select(F.col("text").cast("string").alias("text")), cells, FREQUENCY_CELLS)
 
 
+class Split:
+    """Words of texts: their places, the first one of each text, their hashes and the sums that runs are hashed from."""
+
+    def __init__(self, words: Words, data: np.ndarray, at: np.ndarray):
+        self.starts, self.ends, self.first = words.split(data, at)
+        self.hashes = words.hashes(data, self.starts, self.ends)
+        self.sums = words.sums(self.hashes)
+
+
 class Index:
     """Windows of a block of items by their rarest word."""
 
@@ -96,10 +107,9 @@ class Index:
         """Items that have any of the distinct windows, given by their first rows."""
         return {self.items[i] for w in windows for i in self.item[w : w + self.same[w]].tolist()}
 
-    def hits(self, words: Words, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Row, first word and word after the last of each window found, its place in the index, words before each row."""
-        starts, ends, first = words.split(data, at)
-        hashes = words.hashes(data, starts, ends)
+    def hits(self, words: Words, data: np.ndarray, texts: Split) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Row, first word and word after the last of each window found, in the order of rows, and its place in the index."""
+        starts, ends, first, hashes, sums = texts.starts, texts.ends, texts.first, texts.hashes, texts.sums
         may = np.flatnonzero(self.filter[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
         place = np.searchsorted(self.anchors, hashes[may])
         place[place == self.anchors.size] = 0
@@ -112,12 +122,12 @@ class Index:
         end = begin + self.length[window]
         inside = (begin >= first[row]) & (end <= first[row + 1])
         begin, end, window, row = begin[inside], end[inside], window[inside], row[inside]
-        same = words.run(words.sums(hashes), begin, end) == self.key[window]
+        same = words.run(sums, begin, end) == self.key[window]
         begin, end, window, row = begin[same], end[same], window[same], row[same]
         left, right = starts[begin].tolist(), ends[end - 1].tolist()
         exact = [plain_words(data[a:b].tobytes()) == self.words[w] for a, b, w in zip(left, right, window.tolist())]
         keep = np.array(exact, bool)
-        return row[keep], begin[keep] - first[row[keep]], end[keep] - first[row[keep]], window[keep], first
+        return row[keep], begin[keep] - first[row[keep]], end[keep] - first[row[keep]], window[keep]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -149,6 +159,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     documents are each judged; other columns are kept inside ``row``. No text is cut.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
@@ -160,26 +171,30 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
         F.array().cast("array<string>").alias("items"),
     )
     schema = T.StructType([columns.schema["row"], *_FOUND])
-    for block in range(blocks):
-        # A block has about BLOCK_BYTES, as items are dealt out by hash.
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()
-        sent = spark.sparkContext.broadcast(Index([(row.item_id, row.text) for row in own], frequency, window))
+    for start in range(0, blocks, PASS_BLOCKS):
+        sent = []
+        for block in range(start, min(start + PASS_BLOCKS, blocks)):
+            # A block has about BLOCK_BYTES, as items are dealt out by hash.
+            own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()
+            sent.append(spark.sparkContext.broadcast(Index([(row.item_id, row.text) for row in own], frequency, window)))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index, words = sent.value, Words(PLAIN, LOWER)
+            words = Words(PLAIN, LOWER)
             for batch in batches:
                 counts = np.zeros(batch.num_rows, np.int64)
                 spans, names = batch.column(2).to_pylist(), batch.column(3).to_pylist()
                 spans = [[(x["start"], x["end"]) for x in own] for own in spans]
                 for top, _, data, at in pieces(pc.struct_field(batch.column(0), "text")):
-                    row, begin, end, at_index, first = index.hits(words, data, at)
-                    counts[top : top + first.size - 1] = np.diff(first)
-                    # Hits are in the order of the rows.
-                    hit, where = np.unique(row, return_index=True)
-                    for r, a, b in zip(hit.tolist(), where.tolist(), [*where[1:].tolist(), row.size]):
-                        own = slice(a, b)
-                        spans[top + r] = merged(spans[top + r] + list(zip(begin[own].tolist(), end[own].tolist())))
-                        names[top + r] = sorted({*names[top + r], *index.names(set(at_index[own].tolist()))})
+                    texts = Split(words, data, at)
+                    counts[top : top + texts.first.size - 1] = np.diff(texts.first)
+                    for index in sent:
+                        row, begin, end, at_index = index.value.hits(words, data, texts)
+                        # Hits are in the order of the rows.
+                        hit, where = np.unique(row, return_index=True)
+                        for r, a, b in zip(hit.tolist(), where.tolist(), [*where[1:].tolist(), row.size]):
+                            own = slice(a, b)
+                            spans[top + r] = merged(spans[top + r] + list(zip(begin[own].tolist(), end[own].tolist())))
+                            names[top + r] = sorted({*names[top + r], *index.value.names(set(at_index[own].tolist()))})
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
@@ -208,10 +223,11 @@ def judged(found: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents in which no window occurs, with their columns."""
+    """The documents in which no window occurs, with their columns; nulls, empty texts and empty tables as in ``matched``."""
     return matched(docs, benchmark, window).where(F.size("spans") == 0).select("row.*")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of each row of ``documents``; see ``matched`` for nulls, repeated rows and empty tables."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return judged(matched(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
