@@ -1,6 +1,6 @@
 """URL filters by association rules.
 
-Given rules on hosts and paths decide first, the longest that fits. The pages that they decide are labelled rows:
+Given rules on hosts and paths decide first, the longest that fits. The distinct URLs that they decide are labelled rows:
 FP-growth mines the combinations of URL tokens that go with a verdict, and rules of enough support and confidence
 judge the pages that no given rule fits. A mined rule is posted under one of its tokens in an inverted index;
 a page looks up its own tokens there and tests the few rules it finds. Mining and matching use DataFrame functions only.
@@ -27,12 +27,12 @@ VERDICTS = ("allow", "block")
 
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
-# Labelled distinct URLs to mine in, at most; those with the smallest hash of the URL.
-LABELLED_ROWS = 20_000
+# Labelled URLs that a rule has to hold in, at least, however few there are.
+LEAST_ROWS = 5
 # Lists of the inverted index.
 SLOTS = 256
 _LABEL = "verdict="
-_PART = "part="
+_PART, _PIECE = "part=", "piece="
 
 
 def host_of(url: Column) -> Column:
@@ -62,7 +62,8 @@ def given_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]
 
 
 def tokens_of(host: Column, path: Column) -> Column:
-    """Distinct tokens of a URL: its top-level domain, its domain, the site before the domain, the parts of the path.
+    """Distinct tokens of a URL: top-level domain, domain, site before the domain, first label and number of labels of the
+    host, and the parts of the path, whole and in pieces between hyphens.
 
     Parts with digits name single pages and are left out.
     """
@@ -73,17 +74,25 @@ def tokens_of(host: Column, path: Column) -> Column:
         F.when(count >= 1, F.concat(F.lit("top="), last(1))),
         F.when(count >= 2, F.concat(F.lit("domain="), last(2))),
         F.when(count >= 3, F.concat(F.lit("site="), F.get(labels, count - 3))),
+        F.when(count >= 4, F.concat(F.lit("first="), F.get(labels, F.lit(0)))),
+        F.when(count >= 1, F.concat(F.lit("labels="), count.cast("string"))),
     )
     parts = F.filter(F.split(path, "/"), lambda x: (x != "") & ~x.rlike("[0-9]"))
-    parts = F.transform(parts, lambda x: F.concat(F.lit(_PART), x))
-    return F.array_distinct(F.concat(F.array_compact(of_host), parts))
+    pieces = F.flatten(F.transform(F.filter(parts, lambda x: x.contains("-")), lambda x: F.filter(F.split(x, "-"), lambda y: y != "")))
+    named = lambda xs, name: F.transform(xs, lambda x: F.concat(F.lit(name), x))
+    return F.array_distinct(F.concat(F.array_compact(of_host), named(parts, _PART), named(pieces, _PIECE)))
+
+
+def of_path(token: Column) -> Column:
+    return token.startswith(_PART) | token.startswith(_PIECE)
 
 
 def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``antecedent, verdict, confidence, support`` of the rules found in ``tokens, verdict``.
 
-    A rule has to combine a token of the host with one of the path, as the given rules do; one alone says too
-    little. A rule that holds more tokens than another with the same verdict and at least its confidence is left out.
+    A rule has to hold a token of the path: those of the host alone say which sites the given rules are about, not
+    what is on a page. A rule that holds more tokens than another with the same verdict and at least its confidence
+    is left out.
     """
     items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
@@ -92,8 +101,7 @@ def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     rules = rules.select(
         F.array_sort("antecedent").alias("antecedent"), F.substring("label", len(_LABEL) + 1, 99).alias("verdict"), "confidence", "support"
     )
-    of_path = lambda x: x.startswith(_PART)
-    rules = rules.where(F.exists("antecedent", of_path) & F.exists("antecedent", lambda x: ~of_path(x)))
+    rules = rules.where(F.exists("antecedent", of_path))
     # Shorter rules with the same verdict; the number of rules is bounded by the support, not by the data.
     kept = materialize(rules, "rules")
     a, b = kept.alias("a"), kept.alias("b")
@@ -137,20 +145,18 @@ def judge(pages: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_c
 
     ``rule`` is the given rule that decides, else null; then the mined rule of the highest confidence decides, of equal
     ones that of the larger support, then block before allow; ``DEFAULT`` where none fits. A url that is null or has
-    no ``://`` has an empty host and path and so the default. Repeated rows are judged each; an empty table gives an
-    empty result; other columns are ignored.
+    no ``://`` has an empty host and path and so the default. All distinct URLs that given rules decide are mined in.
+    Repeated rows are judged each; an empty table gives an empty result; other columns are ignored.
     """
     url = F.col("url").cast("string")
     parts = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     name, verdict = given_rule(F.col("host"), F.col("path"), rules)
     judged = parts.withColumns({"rule": name, "given": verdict, "tokens": tokens_of(F.col("host"), F.col("path"))})
-    labelled = (
-        judged.where("given is not null")
-        .select("host", "path", "tokens", F.col("given").alias("verdict"))
-        .orderBy(F.xxhash64("host", "path"), "host", "path")
-        .limit(LABELLED_ROWS)
-    )
-    index = index_of(mined(materialize(labelled.select("tokens", "verdict"), "labelled"), min_support, min_confidence))
+    # Each URL once, however many pages have it; its query and fragment do not matter.
+    labelled = judged.where("given is not null").dropDuplicates(["host", "path"]).select("tokens", F.col("given").alias("verdict"))
+    labelled = materialize(labelled, "labelled")
+    least = max(min_support, min(1.0, LEAST_ROWS / max(1, labelled.count())))
+    index = index_of(mined(labelled, least, min_confidence))
     # The index is one row, whose size the support bounds.
     found = F.flatten(F.transform("tokens", lambda token: F.element_at(F.col("index"), slot_of(token) + 1)))
     fitting = F.filter(found, lambda rule: F.size(F.array_except(rule.antecedent, F.col("tokens"))) == 0)
@@ -162,4 +168,5 @@ def judge(pages: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT, min_c
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "host", "path", "rule", "verdict")
+    """The verdict of each row of ``pages``; see ``judge`` for nulls, repeated rows and empty tables."""
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "host", "path", "rule", "verdict", "mined_confidence")
