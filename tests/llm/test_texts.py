@@ -104,6 +104,26 @@ def test_substrings_of_an_empty_table(docs_of):
     assert substrings.deduplicated(docs_of([])).collect() == []
 
 
+def test_weights_do_not_depend_on_the_number_of_documents():
+    draw = np.random.default_rng(4)
+    counts = draw.integers(0, 9, 4096).astype(np.uint64)
+    counts[:40] = draw.integers(500, 1000, 40)
+    for factor in (10, 1_000_000):
+        assert np.abs(neardup.inverse(counts * np.uint64(factor), 1000 * factor) - neardup.inverse(counts, 1000)).max() < 1e-6
+    weights = neardup.inverse(counts, 1000)
+    assert weights.min() >= 1 and weights[40:].min() == weights.max() == 2 and weights[:40].max() < 1.2
+
+
+def test_one_document_of_each_class_stays(docs_of):
+    """Of rows that repeat with id and text, and of equal texts without an id, one stays as well."""
+    rows = [*ODD, (None, prose(3, 40)), (None, prose(3, 40)), (20, prose(3, 40)), (21, None), (21, None), (22, ""), (4, "another text of the same id")]
+    kept = [(row.doc_id, row.text) for row in neardup.representatives(docs_of(rows)).collect()]
+    assert len(kept) == len(set(kept))
+    # 6 is a copy of 5; a text without an id is no copy of one that has one.
+    assert set(kept) == set(rows) - {(6, prose(1, 120))}
+    assert neardup.representatives(docs_of([])).collect() == []
+
+
 def brute_classes(docs, idf, least=0.8):
     shingles, found = neardup.Shingles(), {}
     for doc_id, text in docs:

@@ -1,8 +1,8 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A shingle is a run of five words; its weight in a document is its count there times an inverse document frequency,
-which lies between 1 and 2, so that common passages count less but a large group of near copies still matches. The
-document frequencies are those of hashed shingles, a table of fixed width over all documents.
+which lies between 1 and 2, so that common passages count less but a large group of near copies still matches. It follows
+from the share of all documents that have the shingle, counted in a table of fixed width (see ``inverse``).
 
 Consistent weighted sampling draws, for each of a number of hash functions, one shingle and a level of its weight; two
 documents draw the same with the probability of their weighted Jaccard similarity. The draws are banded. Documents
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timberline.llm.batches import pieces
+from timberline.llm.batches import pieces, small_batches
 from timberline.llm.components import components
 from timberline.llm.sketches import counted
 from timberline.llm.words import SPACED, Words, mixed
@@ -34,8 +34,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # 12 bands of 5 draws find a pair of similarity 0.8 with 0.992, of 0.9 with 0.99998.
 BANDS, DRAWS = 12, 5
-# Cells of the table of document frequencies.
+# Cells of the table of document frequencies. Shingles in a smaller share of the documents than this weigh the same.
 CELLS = 1 << 20
+RARE_SHARE = 0.002
 # Rounds in which the members of a bucket are compared with its smallest one only, before all pairs of different
 # components are.
 LEADER_ROUNDS = 2
@@ -95,9 +96,17 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def inverse(frequencies: np.ndarray, documents: int) -> np.ndarray:
-    """Between 1, for what is in all documents, and 2, for what is in none."""
-    spread = np.log((documents + 1.0) / (np.minimum(frequencies, documents) + 1.0)) / np.log(documents + 2.0)
-    return (1.0 + spread).astype(np.float32)
+    """Between 1, for what is in all documents, and 2, for what is in RARE_SHARE of them or fewer.
+
+    A weight follows from the share of documents, so a corpus of any size gives the same pair the same similarity. Shingles
+    that share a cell stray into its count; as many do for a document on average as there are cells for, whatever the number of
+    documents, and their mean is taken off. What is left of them is a share of about the square root of
+    (shingles of a document / cells / documents), which lies far below RARE_SHARE from some thousand documents on.
+    """
+    counts = frequencies.astype(np.float64)
+    stray = (counts.sum() - counts) / max(counts.size - 1, 1)
+    share = np.clip((counts - stray) / max(documents, 1), RARE_SHARE, 1.0)
+    return (1.0 + np.log(share) / np.log(RARE_SHARE)).astype(np.float32)
 
 
 def drawn(texts: DataFrame, idf) -> DataFrame:
@@ -356,6 +365,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     Texts are compared whole.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     documents = texts.count()
     idf = spark.sparkContext.broadcast(inverse(document_frequencies(texts), documents))
@@ -376,11 +386,30 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 
 def representatives(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The documents that are the first of their class, with their columns; rows without an id stay."""
+    """One document of each class, the one with the smallest id, with its columns.
+
+    Of rows that repeat with an id and text, and of equal texts without an id, one stays; which one is open where they differ
+    in other columns. Rows of one id with different texts are one document and stay. Null and empty texts are like no
+    other: each id keeps one row of them, and so do rows without an id. An empty table gives an empty result.
+    """
     others = classes(docs.select("doc_id", "text"), least).where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    # Of a corpus, too many ids to be sent to every task: the same plan for a small one, so that what is moved grows with the input.
+    return once(docs).join(others.hint("shuffle_merge"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def once(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row for each id and text. Only texts of rows that repeat are moved, a row of each task."""
+    own = docs.withColumns({"_own_id": F.col("doc_id"), "_own_text": F.md5("text")})
+    repeated = own.groupBy("_own_id", "_own_text").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = materialize(repeated.select(F.col("_own_id").alias("_i"), F.col("_own_text").alias("_t")), "repeated")
+    if repeated.isEmpty():
+        return docs
+    same = F.col("_own_id").eqNullSafe(F.col("_i")) & F.col("_own_text").eqNullSafe(F.col("_t"))
+    first = own.join(repeated, same, "left_semi").dropDuplicates(["_own_id", "_own_text"])
+    return own.join(repeated, same, "left_anti").unionByName(first).select(*docs.columns)
 
 
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each row of ``documents``; see ``classes`` for nulls, repeated rows and empty tables."""
     found = classes(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return found.withColumn("is_first", F.col("doc_id") == F.col("class_id"))
