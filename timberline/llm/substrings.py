@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from timberline.llm.batches import pieces
+from timberline.llm.batches import pieces, small_batches
 from timberline.llm.words import SPACED, Powers, Words, mixed
 from timberline.session import materialize
 
@@ -74,6 +74,7 @@ class Windows:
 def repeated_cells(docs: DataFrame, bits: int, window: int, slices: int, part: int) -> np.ndarray:
     """One bit for each cell of both rows: whether it was met more than once."""
     ranges = (ROWS << bits) >> RANGE_BITS
+    kind = np.uint32 if bits < 31 else np.uint64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Windows(window, slices, part)
@@ -82,7 +83,7 @@ def repeated_cells(docs: DataFrame, bits: int, window: int, slices: int, part: i
         for batch in batches:
             for _, _, data, at in pieces(batch.column(0)):
                 _, keys, _, _ = found.of(data, at)
-                held += row_cells(keys, bits)
+                held += [cells.astype(kind) for cells in row_cells(keys, bits)]
                 size += keys.size
                 if size >= HELD:
                     yield sent(held)
@@ -91,7 +92,8 @@ def repeated_cells(docs: DataFrame, bits: int, window: int, slices: int, part: i
             yield sent(held)
 
     def sent(held: list[np.ndarray]) -> pa.RecordBatch:
-        cells = np.sort(np.concatenate(held).astype(np.uint32 if bits < 31 else np.uint64))
+        cells = np.concatenate(held)
+        cells.sort()
         new = np.append(True, cells[1:] != cells[:-1])
         twice = np.unique(cells[~new])
         return pa.RecordBatch.from_arrays(
@@ -100,22 +102,29 @@ def repeated_cells(docs: DataFrame, bits: int, window: int, slices: int, part: i
         )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict[int, np.ndarray] = {}
+        # Messages come in the order of their ranges: one table at a time.
+        table, now = np.zeros(1 << RANGE_BITS, np.uint8), None
+
+        def done() -> pa.RecordBatch:
+            packed = np.packbits(table >> 1, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([packed], pa.binary())], names=["range", "bits"])
+
         for batch in batches:
             for number, once, twice in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if number != now:
+                    if now is not None:
+                        yield done()
+                    table[:] = 0
+                    now = number
                 # Bit 0: met, bit 1: met twice. Cells of one message are all different.
-                table = tables.setdefault(number, np.zeros(1 << RANGE_BITS, np.uint8))
                 cells = np.frombuffer(once.as_buffer(), "<u2")
                 table[cells] = 1 | (table[cells] & 1) << 1 | table[cells]
                 table[np.frombuffer(twice.as_buffer(), "<u2")] = 3
-        for number, table in tables.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int32()), pa.array([np.packbits(table >> 1, bitorder="little").tobytes()], pa.binary())],
-                names=["range", "bits"],
-            )
+        if now is not None:
+            yield done()
 
     out = np.zeros((ranges, (1 << RANGE_BITS) // 8), np.uint8)
-    merged = docs.select("text").mapInArrow(count, _CELLS).repartition("range").mapInArrow(add, _BITS)
+    merged = docs.select("text").mapInArrow(count, _CELLS).repartition("range").sortWithinPartitions("range").mapInArrow(add, _BITS)
     for row in materialize(merged, "sketch").toLocalIterator():
         out[row.range] = np.frombuffer(row.bits, np.uint8)
     return out.reshape(-1)
@@ -164,8 +173,8 @@ def kept_windows(docs: DataFrame, sketch, bits: int, window: int, slices: int, p
     return rows.groupBy("key", "more").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "key")
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW, slices: int = SLICES) -> DataFrame:
-    """``row`` with all columns of ``docs``, ``kept`` text, ``n_words`` and ``n_removed``.
+def deduplicated(docs: DataFrame, window: int = WINDOW, slices: int = SLICES, columns: list | None = None) -> DataFrame:
+    """``row`` with all columns of ``docs``, ``kept`` text, ``n_words`` and ``n_removed``; or what ``columns`` makes of them.
 
     ``docs`` needs ``doc_id, text``. Windows are judged on the input. The kept words are joined by one blank. A null
     text has no words and an empty kept text; a text of fewer words than a window is kept; a document without an
@@ -230,9 +239,14 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, slices: int = SLICES) ->
             T.StructField("n_removed", T.LongType()),
         ]
     )
-    return joined.mapInArrow(run, schema)
+    result = joined.mapInArrow(run, schema)
+    result = materialize(result if columns is None else result.select(*columns), "deduplicated")
+    for sketch in sketches:
+        sketch.destroy()
+    return result
 
 
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each row of ``documents``; see ``deduplicated`` for nulls, repeated rows and empty tables."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return deduplicated(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return deduplicated(docs, columns=["row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")])
