@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from timberline.functions import parse
 from timberline.operators.daily import TLC
-from timberline.session import scratch_path, scratch_root
+from timberline.operators.small import made_small
+from timberline.session import materialize, scratch_path, scratch_root
+from timberline.sources import BELOW
 
 TYPED = """
 WITH e AS (
@@ -82,9 +84,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_folder(spark: SparkSession, sf_dir: str, by: tuple[str, ...] = ("app", "container")) -> str:
     """The same lines as text files, in a folder per application and container; returns the root folder.
 
-    Rows are put in the order of the folders first, so that a task writes few files. The event id ends the
-    order, so a folder with very many lines is split over several tasks and gets several files. The number
-    of tasks follows the data. The folder is written once in a session.
+    A folder with very many lines is split over several tasks and gets several files. The folder is written once in a session.
     """
     return _once(spark, sf_dir, ("logs", *by), lambda path: _write_logs(spark, sf_dir, by, path))
 
@@ -102,20 +102,33 @@ def _once(spark: SparkSession, sf_dir: str, what: tuple[str, ...], write: Callab
     return _folders[root, sf_dir, what]
 
 
+# Folders and lines of a task that writes text files, about. Opening a file takes longer than writing the few lines of it, so
+# the number of tasks has to follow the folders as well as the lines.
+TASK_FOLDERS, TASK_LINES = 250, 200_000
+
+
+def _sizes(rows: DataFrame, by: tuple[str, ...]) -> tuple[DataFrame, int]:
+    """``by, lines`` of each folder, and the number of tasks that write them."""
+    sizes = materialize(rows.groupBy(*by).agg(F.count("*").alias("lines")), "folder-sizes")
+    folders, lines = sizes.agg(F.count("*"), F.coalesce(F.sum("lines"), F.lit(0))).first()
+    return sizes, max(1, -(-folders // TASK_FOLDERS), -(-lines // TASK_LINES))
+
+
 def _write_logs(spark: SparkSession, sf_dir: str, by: tuple[str, ...], path: str) -> None:
-    (
-        logs(spark, sf_dir)
-        .select(
-            "event_id",
-            parse.owner("file_path").alias("app"),
-            F.concat(parse.container_id("file_path"), F.lit(".log")).alias("container"),
-            "value",
-        )
-        .repartitionByRange(*by, "event_id")
-        .select("value", *by)
-        .write.partitionBy(*by)
-        .text(path)
+    rows = logs(spark, sf_dir).select(
+        "event_id",
+        parse.owner("file_path").alias("app"),
+        F.concat(parse.container_id("file_path"), F.lit(".log")).alias("container"),
+        "value",
     )
+    sizes, tasks = _sizes(rows, by)
+    # Only folders with more lines than a task should have, of which there are fewer than tasks.
+    large = sizes.where(F.col("lines") > TASK_LINES)
+    large = large.select(*[F.col(name).alias(f"_{name}") for name in by], F.ceil(F.col("lines") / TASK_LINES).alias("_slices"))
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in by]
+    dealt = rows.join(made_small(large, tasks), same, "left")
+    dealt = dealt.withColumn("_slice", F.pmod(F.xxhash64("event_id"), F.coalesce("_slices", F.lit(1))))
+    dealt.repartition(tasks, *by, "_slice").select("value", *by).write.partitionBy(*by).text(path)
 
 
 def trace_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -123,14 +136,15 @@ def trace_folder(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         rows = spark.sql(TRACED + "SELECT event_id, entry AS value, container_id AS container FROM t", events=table(spark, sf_dir, "events"))
-        ordered = rows.repartition("container").sortWithinPartitions("container", "event_id")
+        _, tasks = _sizes(rows, ("container",))
+        ordered = rows.repartition(tasks, "container").sortWithinPartitions("container", "event_id")
         ordered.select("value", "container").write.partitionBy("container").text(path)
 
     return _once(spark, sf_dir, ("traces",), write)
 
 
-# Places of the log files in the folders above: by application alone, and by container.
-TRACE_LOGS = "container=*/*"
+# Places of the log files in the folders above: by container, and by application alone.
+TRACE_LOGS = BELOW
 FOLDER_LOGS = "app=application_*/*"
 
 

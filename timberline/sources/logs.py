@@ -11,14 +11,23 @@ from timberline.functions import parse
 CONTAINER_LOGS = "application_*/*.log"
 
 
+# In the place of a glob: all files at any depth. Folders are listed in tasks; a glob is matched on the driver, folder by folder.
+BELOW = "**"
+
+
+def _text(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    if glob == BELOW:
+        return spark.read.option("recursiveFileLookup", "true").text(path)
+    return spark.read.text(f"{path.rstrip('/')}/{glob}" if glob else path)
+
+
 def read_logs(spark: SparkSession, path: str, glob: str | None = CONTAINER_LOGS) -> DataFrame:
     """``file_path, value``, one row per line.
 
-    ``glob`` is put below ``path``; ``"*"`` takes every file of every folder there, ``None`` takes ``path``
-    as it is. Small files share a task and large ones are split, as Spark's file settings say.
+    ``glob`` is put below ``path``; ``"*"`` takes every file of every folder there, ``BELOW`` every file at any depth, ``None``
+    takes ``path`` as it is. Small files share a task and large ones are split, as Spark's file settings say.
     """
-    location = f"{path.rstrip('/')}/{glob}" if glob else path
-    return spark.read.text(location).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    return _text(spark, path, glob).select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
 def read_log_splits(spark: SparkSession, path: str, glob: str | None = CONTAINER_LOGS) -> DataFrame:
@@ -26,9 +35,8 @@ def read_log_splits(spark: SparkSession, path: str, glob: str | None = CONTAINER
 
     A split is read by one task from start to end, so the lines of a split keep their order up to the next shuffle.
     """
-    location = f"{path.rstrip('/')}/{glob}" if glob else path
     split = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block")]
-    return spark.read.text(location).select(*split, "value")
+    return _text(spark, path, glob).select(*split, "value")
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
