@@ -145,6 +145,19 @@ def test_redaction_keeps_columns_and_the_rest_of_the_text(docs_of):
     assert rows[8].text == "x" * 300_000 and rows[7].text == dict(docs)[7]
 
 
+def test_trees_learn_from_all_documents(spark, docs_of):
+    # More documents than any sample: each has an address, and all words of it are learned from.
+    docs = [(i, f"mail u{i % 7}@mail.example.com " + " ".join(["plain", "words"] * (i % 9))) for i in range(9_000)]
+    rows = pii.training_rows(docs_of(docs).select("doc_id", "text"))
+    weights = {(row.kind, row.label): row.weight for row in rows.groupBy("kind", "label").agg(F.sum("weight").alias("weight")).collect()}
+    assert weights["email", 1.0] == weights["mail_like", 1.0] == len(docs)
+    # "mail", the parts of the address and its name without digits, and the words that follow.
+    words = [len(regex.findall(r"[^\s0-9]{4,}+", text)) for _, text in docs]
+    assert weights["word", 0.0] == pytest.approx(sum(min(n, pii.PLAIN_WORDS) for n in words), rel=1e-4)
+    assert rows.count() < 200
+    assert pii.training_rows(docs_of([]).select("doc_id", "text")).count() == 0
+
+
 def candidates(text):
     return sorted((kind, m.start(), m.end()) for kind, pattern in pii.GENERATORS.items() for m in regex.finditer(pattern, text))
 

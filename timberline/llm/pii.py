@@ -1,9 +1,9 @@
 """Personal data by boosted trees over candidate spans, with DataFrame functions only.
 
 Patterns of fixed kinds with their checks give the base spans. Looser generators propose further candidates, which may
-overlap. Gradient-boosted trees are trained on candidates of a bounded sample of documents, with the checks of the base
+overlap. Gradient-boosted trees are trained on the candidates of all documents, with the checks of the base
 kinds as labels that the features do not show: they describe the format of a candidate (counts of kinds of characters,
-groups, changes) and its context. The trees become one SQL expression, so that all candidates are scored where
+groups, changes) and its context. Candidates of equal features are one row with a weight. The trees become one SQL expression, so that all candidates are scored where
 their text is read, without a shuffle. A threshold for each generator is set on held-out candidates of its kind whose label
 is known, such that the wanted share of what it lets pass is right. Of accepted spans that overlap the best one stays, and
 then each next one that overlaps none that stays.
@@ -52,11 +52,11 @@ _KEYWORD = r"(?i)(password|passwd|pwd|token|secret|key|mail|phone|tel|call|card|
 _PHRASE = r"(?i)(?:(?<![a-z0-9._%+-])|\G)[a-z0-9._%+-]{2,}+ at [a-z0-9-]{2,}+(?! dot |[ ]?[(\[{]dot)"
 _SURE_SECRET = r"(?i)^(password|passwd|pwd|token|secret|api[_-]?key)[ ]{0,3}[=:]|^AKIA[A-Z0-9]{16}$"
 
-# Documents to learn from, about; taken by the hash of id and text.
-TRAINING_DOCS = 4_000
 TREES, DEPTH, SEED = 10, 4, 7
-# Words of a text that are learned from as plain ones, about.
-PLAIN_WORDS, WORD_BYTES = 10, 7
+# All words of a text are learned from as plain ones; together they weigh as much as so many candidates, each at most as one.
+PLAIN_WORDS = 10
+# Weights are summed in millionths, so that the sums do not depend on their order.
+UNIT = 1_000_000
 PRECISION = 0.95
 LEAST_OF_A_CLASS = 20
 HELD_OUT = 5
@@ -172,15 +172,15 @@ def known(x: Column) -> Column:
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """``label``, ``kind``, ``fold`` and the features, of candidates whose label is known.
+    """``fold``, ``kind``, ``label``, the features and ``weight``, of all candidates whose label is known.
 
     Matches of base patterns have the label of their check, candidates of generators that of ``known``. Addresses in disguise have
-    no check, so base addresses are disguised; phrases with ``at`` and no dot are wrong. Some words of the text, by hash, are
-    wrong. Candidates of which nothing is known are not learned from.
+    no check, so base addresses are disguised; phrases with ``at`` and no dot are wrong. The words of a text are
+    wrong and weigh PLAIN_WORDS together. Candidates of which nothing is known are not learned from. There is one row for all candidates
+    that are equal in all of this; ``weight`` is their number.
     """
-    share = min(1.0, TRAINING_DOCS / max(1, docs.count()))
-    by_hash = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000) + 1
-    own = with_candidates(with_base(docs.select("doc_id", "text").where(by_hash)))
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)).alias("fold")
+    own = with_candidates(with_base(docs.select("doc_id", "text")))
     zero = F.lit(0).cast("long")
 
     def candidate(text: Column, kind: str, before: Column, after: Column) -> Column:
@@ -190,29 +190,31 @@ def training_rows(docs: DataFrame) -> DataFrame:
     def labelled(spans, label) -> Column:
         return F.transform(spans, lambda x: F.struct(x.alias("span"), label(x).cast("double").alias("label")))
 
-    every = F.regexp_extract_all(F.col("text"), F.lit(r"[^\s0-9]{4,}+"), F.lit(0))
-    # About one of so many words, by the bytes of the text: a count of the words would be made again for each of them.
-    words_about = F.greatest(F.expr(f"octet_length(text) div {WORD_BYTES}"), F.lit(1))
-    drawn = F.filter(every, lambda x: F.pmod(F.xxhash64(x, F.col("doc_id")), words_about) < PLAIN_WORDS)
-    words = F.transform(drawn, lambda x: candidate(x, "word", F.lit(" "), F.lit(" ")))
     disguised = lambda x: F.replace(F.replace(x["text"], F.lit("@"), F.lit(" at ")), F.lit("."), F.lit(" dot "))
     mails = F.transform(F.filter("_base", lambda x: x["kind"] == "email"), lambda x: candidate(disguised(x), "mail_like", x["before"], x["after"]))
     phrases = F.transform(matches(F.coalesce("text", F.lit("")), "phrase", _PHRASE), lambda x: candidate(x["text"], "mail_like", x["before"], x["after"]))
     none = F.array().cast(own.schema["_more"].dataType)
-    rows = own.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)).alias("fold"),
+    spans = own.select(
+        fold,
         F.explode(
             F.concat(
                 labelled(F.col("_tried"), holds),
                 labelled(F.col("_found"), known),
                 labelled(mails, lambda x: F.lit(1)),
                 labelled(F.coalesce(phrases, none), lambda x: F.lit(0)),
-                labelled(F.coalesce(words, none), lambda x: F.lit(0)),
             )
         ).alias("one"),
     ).where("one.label is not null")
-    span = F.col("one.span")
-    return rows.select("fold", span["kind"].alias("kind"), F.col("one.label").alias("label"), *[c.alias(n) for n, c in described(span).items()])
+    spans = spans.select("fold", "one.span", "one.label", F.lit(UNIT).cast("long").alias("units"))
+    # Words are counted before they are described, as most of them come again.
+    every = F.regexp_extract_all(F.col("text"), F.lit(r"[^\s0-9]{4,}+"), F.lit(0))
+    texts = docs.select(fold, every.alias("words"))
+    share = F.greatest(F.lit(UNIT * PLAIN_WORDS).cast("long") / F.greatest(F.size("words"), F.lit(PLAIN_WORDS)), F.lit(1)).cast("long")
+    words = texts.select("fold", share.alias("units"), F.explode("words").alias("word")).groupBy("fold", "word").agg(F.sum("units").alias("units"))
+    words = words.select("fold", candidate(F.col("word"), "word", F.lit(" "), F.lit(" ")).alias("span"), F.lit(0.0).alias("label"), "units")
+    span = F.col("span")
+    rows = spans.unionByName(words).select("fold", span["kind"].alias("kind"), "label", *[c.alias(n) for n, c in described(span).items()], "units")
+    return rows.groupBy("fold", "kind", "label", *FEATURES).agg((F.sum("units") / UNIT).alias("weight"))
 
 
 class Scorer:
@@ -254,17 +256,17 @@ def _tree(lines, features: list[Column]) -> Column:
 
 
 def learned(docs: DataFrame) -> Scorer | None:
-    """Boosted trees from a sample of ``docs``; none where it has too few examples of a class."""
+    """Boosted trees from all candidates of ``docs``; none where there are too few examples of a class."""
     rows = materialize(training_rows(docs), "candidates")
-    classes = {row.label: row.n for row in rows.where("fold > 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    classes = {row.label: row.n for row in rows.where("fold > 0").groupBy("label").agg(F.sum("weight").alias("n")).collect()}
     if min(classes.get(0.0, 0), classes.get(1.0, 0)) < LEAST_OF_A_CLASS:
         return None
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, checkpointInterval=-1).fit(data.where("fold > 0").coalesce(4))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, checkpointInterval=-1, weightCol="weight").fit(data.where("fold > 0"))
     scorer = Scorer([(weight, tree.toDebugString.split("\n", 1)[1]) for weight, tree in zip(model.treeWeights, model.trees)], {})
     # Rounded down, so that a threshold lets pass what it was set by; a few hundred values at most.
     margin = (F.floor(scorer.margin({name: F.col(name) for name in FEATURES}) * 100) / 100).alias("margin")
-    held = rows.where("fold = 0").groupBy("kind", margin).agg(F.sum("label").alias("right"), F.count("*").alias("n")).collect()
+    held = rows.where("fold = 0").groupBy("kind", margin).agg(F.sum(F.col("label") * F.col("weight")).alias("right"), F.sum("weight").alias("n")).collect()
     for kind in GENERATORS:
         own = [row for row in held if row.kind == kind]
         # A kind with too few labels of its own is judged by all of them.
