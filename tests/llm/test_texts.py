@@ -15,6 +15,7 @@ from tests.llm.conftest import ODD, prose
 from timberline.llm import decontamination, neardup, substrings
 from timberline.llm.batches import flat
 from timberline.llm.components import components
+from timberline.llm.sketches import counted
 from timberline.session import Workspace
 
 SHARED = prose(77, 40)
@@ -212,6 +213,29 @@ def test_draws_agree_as_often_as_documents_are_alike(spark):
         assert abs((draws[1] == draws[other]).mean() - exact) < 0.25
 
 
+def test_components_of_stars_take_no_step(spark):
+    edges = [(i, i % 5) for i in range(5, 60)]
+    with Workspace(spark, "test") as kept:
+        found = components(spark.createDataFrame(edges, "a long, b long"), kept)
+        assert sorted(map(tuple, found.collect())) == edges
+        assert kept.number == 1
+
+
+def test_counters_reach_the_driver_in_few_jobs(spark):
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("counters", "counters")
+    try:
+        found = counted(spark.range(1000), lambda batch: iter([batch.column(0).to_numpy() % 64]), 64)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found.tolist() == [16] * 40 + [15] * 24
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("counters")) < 10
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (103, 101), (7, 7), (200, 300), (300, 200)]
     with Workspace(spark, "test") as kept:

@@ -24,7 +24,8 @@ def counted(texts: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator[np.n
     """Number of times that ``cells_of`` gave each cell below ``width``, over all batches of ``texts``.
 
     Each task counts for itself and sends ranges of cells that were met; these are added up by range and group of
-    tasks first and by range after that. ``width`` is a power of two and bounds what reaches the driver.
+    tasks first and by range after that. ``width`` is a power of two and bounds what reaches the driver, in one job: an iterator
+    over the rows would start a job for each partition.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -56,8 +57,6 @@ def counted(texts: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator[np.n
     merged = texts.mapInArrow(count, _SCHEMA).groupBy("chunk", "part").applyInPandas(add, _SCHEMA)
     merged = merged.groupBy("chunk").applyInPandas(add, _SCHEMA)
     out = np.zeros((width // min(CHUNK, width), min(CHUNK, width)), np.uint64)
-    for row in merged.select("chunk", "cells").toLocalIterator():
+    for row in merged.select("chunk", "cells").collect():
         out[row.chunk] = np.frombuffer(row.cells, "<u8")
     return out.reshape(-1)
-
-
