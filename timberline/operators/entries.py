@@ -3,7 +3,8 @@
 Files are read in splits, each from its start to its end by one task. Inside of a split the last header is carried along;
 what a split cannot know is the header that was open at its start. So a first pass leaves one row for each split: its
 number of lines and its last header. Carried over the splits of a file in their order, these rows tell
-each split what was open, whatever the splits are. Lines are never shuffled.
+each split what was open, whatever the splits are. Files that are one split have no need of it and are read once. Lines are never
+shuffled.
 """
 
 from __future__ import annotations
@@ -134,8 +135,13 @@ def entries(lines: DataFrame, most_splits: int = MOST_SPLITS) -> DataFrame:
     an entry from 0, the header. Lines before the first header of a file have null parts and count from the file's start. The
     result is the same for any size of splits but for ``block``.
     """
-    opened = materialize(open_headers(materialize(splits(lines), "splits")), "open-headers")
-    own = carried(lines)
+    if "whole" not in lines.columns:
+        lines = lines.withColumn("whole", F.lit(False))
+    whole, parts = lines.filter("whole"), lines.filter("NOT whole")
+    # Only if the settings of splits were changed since the lines were read.
+    later = F.raise_error(F.concat(F.lit("a file that was to be one split has several: "), "file_path"))
+    whole = whole.withColumn("block", F.when(F.col("block") == 0, F.col("block")).otherwise(later.cast("long")))
+    opened = materialize(open_headers(materialize(splits(parts), "splits")), "open-headers")
     keys, orphan = ["file_path", "block"], F.col("ts_text").isNull()
 
     def filled(found: DataFrame) -> DataFrame:
@@ -143,7 +149,8 @@ def entries(lines: DataFrame, most_splits: int = MOST_SPLITS) -> DataFrame:
         number = F.col("line_no") + F.when(orphan, F.coalesce("open_lines", F.lit(0))).otherwise(0)
         return found.select(*keys, number.alias("line_no"), *parts, "value")
 
-    return with_small(own, opened, keys, most_splits, filled, orphan)
+    found = with_small(carried(parts), opened, keys, most_splits, filled, orphan)
+    return found.unionByName(carried(whole).select(found.columns))
 
 
 def entry_sizes(found: DataFrame) -> DataFrame:

@@ -6,15 +6,20 @@ operators have to parse it again. It is plain SQL, so a check can start from the
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+import uuid
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timberline.functions import parse
 from timberline.operators.daily import TLC
 from timberline.operators.small import made_small
-from timberline.session import materialize, scratch_path, scratch_root
+from timberline.session import local_folder, materialize, scratch_path, scratch_root
 from timberline.sources import BELOW
 
 TYPED = """
@@ -131,14 +136,57 @@ def _write_logs(spark: SparkSession, sf_dir: str, by: tuple[str, ...], path: str
     dealt.repartition(tasks, *by, "_slice").select("value", *by).write.partitionBy(*by).text(path)
 
 
+def _write_local(rows: DataFrame, by: str, root: str) -> int:
+    """``rows.write.partitionBy(by).text(root)`` in the store of local files, for rows that are sorted by ``by``; returns their number.
+
+    Same folders, names of files and bytes. Hadoop's local store starts a ``chmod`` four times for a file and its checksum,
+    which takes far longer than the few lines of it, so the tasks open these files on their own. A file gets its name when it
+    is complete, and a task that runs again puts the same file in its place. ``by`` must need no escape in a name of a folder.
+    """
+    job = uuid.uuid4()
+    folder = F.concat(F.lit(f"{by}="), F.coalesce(by, F.lit("__HIVE_DEFAULT_PARTITION__")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = f"part-{TaskContext.get().partitionId():05d}-{job}.c000.txt"
+        own = f".{name}.{uuid.uuid4().hex}"
+        count, last, out = 0, None, None
+        for batch in batches:
+            values, start = batch.column("value").cast(pa.binary()).to_pylist(), 0
+            for place, group in groupby(batch.column("folder").to_pylist()):
+                if place != last:
+                    if out:
+                        out.close()
+                        os.replace(f"{root}/{last}/{own}", f"{root}/{last}/{name}")
+                    os.makedirs(f"{root}/{place}", exist_ok=True)
+                    last, out = place, open(f"{root}/{place}/{own}", "wb")
+                stop = start + len(list(group))
+                out.write(b"\n".join(values[start:stop]) + b"\n")
+                start = stop
+            count += batch.num_rows
+        if out:
+            out.close()
+            os.replace(f"{root}/{last}/{own}", f"{root}/{last}/{name}")
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], names=["lines"])
+
+    written = rows.select(folder.alias("folder"), F.coalesce("value", F.lit("")).alias("value")).mapInArrow(run, "lines long")
+    return written.agg(F.sum("lines")).first()[0] or 0
+
+
 def trace_folder(spark: SparkSession, sf_dir: str) -> str:
     """The lines with traces as text files, one for each container, in the order of the events; returns the root folder."""
 
     def write(path: str) -> None:
         rows = spark.sql(TRACED + "SELECT event_id, entry AS value, container_id AS container FROM t", events=table(spark, sf_dir, "events"))
-        _, tasks = _sizes(rows, ("container",))
-        ordered = rows.repartition(tasks, "container").sortWithinPartitions("container", "event_id")
-        ordered.select("value", "container").write.partitionBy("container").text(path)
+        sizes, tasks = _sizes(rows, ("container",))
+        ordered = rows.repartition(tasks, "container").sortWithinPartitions("container", "event_id").select("value", "container")
+        root = local_folder(spark, path)
+        if root is None:
+            ordered.write.partitionBy("container").text(path)
+        else:
+            os.makedirs(root)
+            wanted = sizes.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
+            if (got := _write_local(ordered, "container", root)) != wanted:
+                raise RuntimeError(f"{got} of {wanted} entries were written to {root}")
 
     return _once(spark, sf_dir, ("traces",), write)
 

@@ -100,6 +100,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def local_folder(spark: SparkSession, path: str) -> str | None:
+    """``path`` as the operating system knows it, if it lies in the store of local files; those of all executors are one, as said above."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.makeQualified(target).toUri().getPath() if store.getUri().getScheme() == "file" else None
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete what the session has written to its shared folder; also called when the process ends.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,20 @@ CONTAINER_LOGS = "application_*/*.log"
 BELOW = "**"
 
 
+# Tasks for each core that list folders, at most. Spark's own bound is one for each folder up to 10,000.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS = 16
+
+
 def _text(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    if glob == BELOW:
+    if glob != BELOW:
+        return spark.read.text(f"{path.rstrip('/')}/{glob}" if glob else path)
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, str(min(int(before), LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+    try:  # files are listed here, once
         return spark.read.option("recursiveFileLookup", "true").text(path)
-    return spark.read.text(f"{path.rstrip('/')}/{glob}" if glob else path)
+    finally:
+        spark.conf.set(LISTING, before)
 
 
 def read_logs(spark: SparkSession, path: str, glob: str | None = CONTAINER_LOGS) -> DataFrame:
@@ -30,13 +42,41 @@ def read_logs(spark: SparkSession, path: str, glob: str | None = CONTAINER_LOGS)
     return _text(spark, path, glob).select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
+# Spark counts a file as so many bytes more than it has, and as no task gets more than a bound of such bytes, tasks of short
+# files have few of them. Files up to each of these lengths get tasks of their own, as many as their bytes need.
+OPEN_COST = "spark.sql.files.openCostInBytes"
+SPLIT = "spark.sql.files.maxPartitionBytes"
+SHORT = (64 << 10, 512 << 10)
+# Tasks for each core that short files are read in, at least, where Spark has as many.
+SHORT_TASKS = 4
+
+
 def read_log_splits(spark: SparkSession, path: str, glob: str | None = CONTAINER_LOGS) -> DataFrame:
-    """``file_path, block, value`` as ``read_logs``, with the place in the file where the line's split starts.
+    """``file_path, block, value, whole`` as ``read_logs``, with the place in the file where the line's split starts.
 
-    A split is read by one task from start to end, so the lines of a split keep their order up to the next shuffle.
+    A split is read by one task from start to end, so the lines of a split keep their order up to the next shuffle. ``whole``
+    says that the file is known to be one split by its length; a filter on it leaves other files unopened.
     """
-    split = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block")]
-    return _text(spark, path, glob).select(*split, "value")
+    lines = _text(spark, path, glob)
+    size = F.col("_metadata.file_size")
+    bytes_of = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    cost = bytes_of(spark.conf.get(OPEN_COST))
+    # No split is shorter, unless its file is.
+    whole = min(cost, bytes_of(spark.conf.get(SPLIT)))
+
+    def of(files: DataFrame, whole: bool) -> DataFrame:
+        split = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block")]
+        return files.select(*split, "value", F.lit(whole).alias("whole"))
+
+    parts, over = [], -1
+    for most in [*[length for length in SHORT if length < whole], *([whole] if whole > 0 else [])]:
+        files = lines.filter((size > over) & (size <= most))
+        tasks = files.rdd.getNumPartitions()
+        if tasks:
+            least = min(tasks, SHORT_TASKS * spark.sparkContext.defaultParallelism)
+            parts.append(of(files, True).coalesce(max(least, -(-tasks * most // (most + cost)))))
+        over = most
+    return reduce(DataFrame.unionByName, [*parts, of(lines.filter(size > over), False)])
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
